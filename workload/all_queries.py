@@ -1,3 +1,3 @@
 """Importing this module registers every query."""
 
-from workload import tables_queries  # noqa: F401
+from workload import column_queries, key_queries, tables_queries  # noqa: F401
