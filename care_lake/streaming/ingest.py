@@ -40,11 +40,11 @@ def finish(queries: Sequence[StreamingQuery]) -> None:
         q.awaitTermination()
 
 
-def read_ndjson_stream(spark: SparkSession, path: str, system: str) -> DataFrame:
+def read_ndjson_stream(spark: SparkSession, path: str, system: str, glob: str = "*.ndjson") -> DataFrame:
     """One row per NDJSON line: envelope fields, the untouched text and where it came from."""
     lines = (
         spark.readStream.schema(LINE)
-        .option("pathGlobFilter", "*.ndjson")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .text(path)
         .withColumns(resource_lineage(system))
@@ -68,16 +68,18 @@ def append_flows(spark: SparkSession, sources: Mapping[str, str], checkpoint_roo
     ])
 
 
-def read_csv_stream(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_csv_stream(
+    spark: SparkSession, path: str, columns: Sequence[str], glob: str = "*.csv", header: bool = True
+) -> DataFrame:
     """All columns as text. A line with too many or too few fields is kept whole in ``_rescued_data``."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RESCUED]])
     return (
         spark.readStream.schema(schema)
-        .option("header", True)
+        .option("header", header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RESCUED)
         .option("escape", '"')
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
         .csv(path)
         .withColumns(csv_lineage())

@@ -1,3 +1,10 @@
 """Importing this module registers every query."""
 
-from workload import column_queries, key_queries, tables_queries  # noqa: F401
+from workload import (  # noqa: F401
+    column_queries,
+    episode_queries,
+    key_queries,
+    quality_queries,
+    report_queries,
+    tables_queries,
+)
