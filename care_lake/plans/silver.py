@@ -30,6 +30,7 @@ from care_lake.functions.clean import (
 from care_lake.functions.fhir import coding_code, extension_text, jpath, with_doc
 from care_lake.operators.dedup import latest_by, union_sources
 from care_lake.operators.lookups import abnormal_flag, map_code, map_with_rules
+from care_lake.session import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -212,9 +213,10 @@ def build_condition(t: Tables) -> DataFrame:
 
 
 def build_procedure(t: Tables) -> DataFrame:
+    """The newest copies are written once, because they are read twice: for the distinct texts and for the rows."""
     key = ["PATIENT", "ENCOUNTER", "CODE", "START"]
     billed = map_with_rules(
-        latest_by(t["procedures"], key), "CODE", "DESCRIPTION", t["procedure_map"], "snomed_code",
+        staged(latest_by(t["procedures"], key), "latest_procedures"), "CODE", "DESCRIPTION", t["procedure_map"], "snomed_code",
         t["procedure_rules"],
         {
             "cpt_hcpcs": "billing_code",
