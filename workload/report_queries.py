@@ -70,9 +70,9 @@ measure_query(
     "SELECT year, patients AS patients_seen FROM x_encounter_year",
 )
 measure_query("high_utilizers", [], """
-SELECT count(*) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased""")
+SELECT nullif(count(*), 0) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased""")
 measure_query("high_utilizers", [], """
-SELECT count(*) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased""",
+SELECT nullif(count(*), 0) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased""",
               filters={YEAR: 1998}, key="m_high_utilizers_ignores_year")
 measure_query("member_months", [YEAR], "SELECT year, months AS member_months FROM x_member_year")
 measure_query("pmpm_paid", [YEAR], f"""
@@ -103,7 +103,7 @@ KPI_TOTALS = f"""
   {ratio('sum(post_discharge_ed_visits)', 'sum(index_admissions)')} AS post_discharge_ed_rate,
   CAST(sum(CAST(payer_paid AS DECIMAL(18,2))) AS DOUBLE) AS payer_paid,
   {ratio('sum(CAST(payer_paid AS DECIMAL(18,2)))', '(SELECT sum(months) FROM x_member_year)')} AS pmpm_paid,
-  (SELECT count(*) FROM x_patient_360 WHERE latest_risk_tier = 'High' AND NOT is_deceased) AS high_risk_patients"""
+  (SELECT nullif(count(*), 0) FROM x_patient_360 WHERE latest_risk_tier = 'High' AND NOT is_deceased) AS high_risk_patients"""
 
 
 def report_query(name: str, sql: str):
@@ -143,7 +143,7 @@ SELECT k.*, e.*, h.* FROM (
     {ratio('sum(payer_paid) FILTER (WHERE patient_id IN (SELECT patient_id FROM x_patient_360 WHERE is_high_utilizer))',
            'sum(payer_paid)')} AS high_utilizer_share_of_cost
   FROM x_fact_encounter WHERE CAST(start_ts AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2000-12-31') e, (
-  SELECT count(*) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased) h""")(reports.cost_cards)
+  SELECT nullif(count(*), 0) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased) h""")(reports.cost_cards)
 
 report_query("v07_visits_by_month", """
 SELECT strftime(month_start, '%Y-%m') AS year_month, CAST(sum(admissions) AS BIGINT) AS admissions,
@@ -201,7 +201,7 @@ SELECT i.encounter_id, CAST(i.discharge_date AS VARCHAR) AS discharge_date, p.pa
 JOIN x_dim_patient p ON p.patient_id = i.patient_id""")(reports.index_stays_with_outcome)
 
 report_query("v16_care_cards", f"""
-SELECT (SELECT count(*) FROM x_worklist) AS worklist_patients,
+SELECT (SELECT nullif(count(*), 0) FROM x_worklist) AS worklist_patients,
   (SELECT nullif(count(*), 0) FROM x_patient_360 WHERE latest_risk_tier = 'High' AND NOT is_deceased) AS high_risk_patients,
   count(*) AS scored_discharges,
   {ratio('count(*) FILTER (WHERE is_readmitted_30_days)', 'count(*)')} AS readmission_rate_scored
