@@ -1,7 +1,8 @@
 """Code mapping.
 
 Lookups are joined without a broadcast hint: they are read from files, so Spark knows their size,
-broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it.
+broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it. Only lists that
+are joined by range or pattern carry a hint, and those are counted first.
 """
 
 from __future__ import annotations
@@ -15,6 +16,19 @@ from care_lake.operators.dedup import pick_best
 from care_lake.session import staged
 
 
+SHORT_LIST = 10_000
+
+
+def short_list(df: DataFrame, what: str) -> DataFrame:
+    """Broadcast a list that is joined by range or pattern, after counting that it is short.
+
+    Such a join compares every row with every entry of the list, so a long one is refused.
+    """
+    if df.limit(SHORT_LIST + 1).count() > SHORT_LIST:
+        raise ValueError(f"{what} has more than {SHORT_LIST} entries; it cannot be joined by range or pattern")
+    return F.broadcast(df)
+
+
 def map_code(
     df: DataFrame, lookup: DataFrame, on: str, key: str, cols: Mapping[str, str], when: Column | None = None
 ) -> DataFrame:
@@ -39,7 +53,7 @@ def first_matching_rule(
     Works on distinct (code, text) pairs, so the pattern matching does not grow with the rows.
     """
     pairs = df.select(code, text).distinct()
-    hits = pairs.join(rules, F.rlike(F.col(text), F.col(pattern)))
+    hits = pairs.join(short_list(rules, "rule list"), F.rlike(F.col(text), F.col(pattern)))
     best = pick_best(hits, [code], [F.col(priority).cast("int"), F.col(pattern)])
     return best.select(code, *cols)
 
@@ -120,7 +134,7 @@ def band_lookup(
         F.col("upper_bound").cast("int").alias("_hi"),
         F.col("points").cast("int").alias(points),
     )
-    return df.join(part, F.col(value).between(F.col("_lo"), F.col("_hi")), "left").drop("_lo", "_hi")
+    return df.join(short_list(part, f"scale {component}"), F.col(value).between(F.col("_lo"), F.col("_hi")), "left").drop("_lo", "_hi")
 
 
 def match_rules(

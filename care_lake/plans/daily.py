@@ -16,12 +16,15 @@ from care_lake.sources.lookups import read_lookups
 from care_lake.sources.tables import read_table, table_path, write_table
 from care_lake.streaming.ingest import append_flows, finish, ingest_csv_text, read_ingested
 
-# sort columns inside the files of the large tables, for row group skipping
+# sort columns inside the files, for row group skipping: settings and dates for the tables that are
+# aggregated, the patient for those a report reads one patient from
 CLUSTER_BY = {
     "encounter": ["care_setting", "start_date"],
     "fact_encounter": ["start_date_key"],
-    "fact_lab_result": ["result_date_key"],
-    "patient_timeline": ["patient_id"],
+    "fact_condition": ["patient_id"],
+    "fact_lab_result": ["patient_id"],
+    "fact_medication": ["patient_id"],
+    "patient_timeline": ["patient_id", "event_ts"],
     "patient_360": ["patient_id"],
 }
 
@@ -53,7 +56,9 @@ def build_tables(tables: Lake, spark: SparkSession, lake: str) -> Lake:
     for layer, names in (("silver", SILVER), ("gold", GOLD)):
         for name in names:
             current = Lake(built, tables.period)
-            built[name] = write_table(current[name], lake, layer, name, CLUSTER_BY.get(name, ()))
+            cluster_by = CLUSTER_BY.get(name, [])
+            find_by = [c for c in cluster_by if c == "patient_id"]
+            built[name] = write_table(current[name], lake, layer, name, cluster_by, find_by=find_by)
     return Lake(built, tables.period)
 
 

@@ -53,12 +53,27 @@ RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
 
 @dataclass(frozen=True)
 class Base:
-    """An aggregate of one table. ``only_in`` keeps rows whose key occurs in another filtered table."""
+    """An aggregate of one table: ``sum`` or ``distinct`` of a column, or the number of ``rows``.
+
+    ``condition`` restricts the rows; ``only_in`` keeps rows whose key occurs in another filtered table.
+    """
 
     table: str
-    value: str
+    kind: str
+    column: str = ""
+    condition: str = "true"
     only_in: tuple[str, str, str] | None = None
 
+    def partial(self) -> Column:
+        """The part that is added up per combination of keys, before dimensions are joined."""
+        return F.expr(f"count_if({self.condition})" if self.kind == "rows" else f"sum({self.column})")
+
+    def total(self, name: str) -> Column:
+        """The value of a group. A count of no rows is a blank, not a zero."""
+        if self.kind == "distinct":
+            return F.nullif(F.count_distinct(self.column), F.lit(0))
+        return F.nullif(F.sum(name), F.lit(0)) if self.kind == "rows" else F.sum(name)
+
 
 @dataclass(frozen=True)
 class Ratio:
@@ -80,14 +95,12 @@ class Constant:
 Measure = Base | Ratio | Constant
 
 
-def _sum(table: str, column: str) -> Base:
-    return Base(table, f"sum({column})")
+def _sum(table: str, column: str, only_in: tuple[str, str, str] | None = None) -> Base:
+    return Base(table, "sum", column, only_in=only_in)
 
 
-def _rows(table: str, condition: str | None = None) -> Base:
-    counted = "count(*)" if condition is None else f"count_if({condition})"
-    # a count of no rows is a blank, not a zero
-    return Base(table, f"nullif({counted}, 0)")
+def _rows(table: str, condition: str = "true") -> Base:
+    return Base(table, "rows", condition=condition)
 
 
 FOLLOWED = "follow_up_complete"
@@ -100,7 +113,7 @@ MEASURES: dict[str, Measure] = {
     "ed_visits": _sum("kpi_monthly", "ed_visits"),
     "active_patient_months": _sum("kpi_active_patients_monthly", "active_patients"),
     "ed_visits_per_1000": Ratio("ed_visits", "active_patient_months", 12000),
-    "patients_seen": Base("fact_encounter", "nullif(count(distinct patient_id), 0)"),
+    "patients_seen": Base("fact_encounter", "distinct", "patient_id"),
     "high_utilizers": _rows("patient_360", "is_high_utilizer and not is_deceased"),
     "index_admissions": _sum("kpi_monthly", "index_admissions"),
     "readmissions": _sum("kpi_monthly", "readmissions"),
@@ -116,8 +129,8 @@ MEASURES: dict[str, Measure] = {
     "pmpm_paid": Ratio("payer_paid", "member_months"),
     "encounter_payer_paid": _sum("fact_encounter", "payer_paid"),
     "cost_per_patient": Ratio("encounter_payer_paid", "patients_seen"),
-    "high_utilizer_paid": Base(
-        "fact_encounter", "sum(payer_paid)", only_in=("patient_360", "patient_id", "is_high_utilizer")
+    "high_utilizer_paid": _sum(
+        "fact_encounter", "payer_paid", only_in=("patient_360", "patient_id", "is_high_utilizer")
     ),
     "high_utilizer_share_of_cost": Ratio("high_utilizer_paid", "encounter_payer_paid"),
     "high_risk_patients": _rows("patient_360", "latest_risk_tier = 'High' and not is_deceased"),
@@ -151,44 +164,73 @@ def _reaches(field: str, table: str) -> bool:
     return owner == table or owner in RELATIONSHIPS.get(table, {})
 
 
-def _context(t: Tables, table: str, fields: Sequence[str], filters: Mapping[str, object]) -> DataFrame:
-    """Rows of a table inside the filter context, with the dimension columns to group by."""
-    out = t[table]
-    wanted = {f for f in (*fields, *filters) if _reaches(f, table)}
-    for field in wanted:
-        owner, column = _split(field)
-        if owner == table:
-            out = out.withColumn(f"_{owner}_{column}", F.col(column))
-    for dim in sorted({_split(f)[0] for f in wanted} - {table}):
+def _key_name(field: str) -> str:
+    return "_" + field.replace(".", "_")
+
+
+def _add_fields(rows: DataFrame, t: Tables, table: str, fields: Sequence[str]) -> DataFrame:
+    """Add columns of related dimensions under their key names."""
+    out = rows
+    for dim in sorted({_split(f)[0] for f in fields}):
         fact_key, dim_key = RELATIONSHIPS[table][dim]
-        cols = [F.col(c).alias(f"_{dim}_{c}") for d, c in sorted(map(_split, wanted)) if d == dim]
+        cols = [F.col(_split(f)[1]).alias(_key_name(f)) for f in fields if _split(f)[0] == dim]
         right = t[dim].select(F.col(dim_key).alias("_dim_key"), *cols)
         out = out.join(right, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
-    for field, value in filters.items():
-        if _reaches(field, table):
-            owner, column = _split(field)
-            values = list(value) if isinstance(value, (list, tuple, set)) else [value]
-            out = out.filter(F.col(f"_{owner}_{column}").isin(values))
     return out
 
 
+def _matches(column: Column, value: object) -> Column:
+    return column.isin(list(value) if isinstance(value, (list, tuple, set)) else [value])
+
+
+def _aggregate(
+    t: Tables, table: str, members: Sequence[str], by: Sequence[str], filters: Mapping[str, object],
+    only_in: tuple[str, str, str] | None,
+) -> DataFrame:
+    """Measures of one table per group.
+
+    Rows are first added up per combination of their own keys. Only those few combinations meet the
+    dimensions, so neither a large dimension nor a key that owns many rows makes the table be shuffled.
+    """
+    bases = {n: MEASURES[n] for n in members}
+    applied = {f: v for f, v in filters.items() if _reaches(f, table)}
+    rows = t[table]
+    for field, value in applied.items():
+        if _split(field)[0] == table:
+            rows = rows.filter(_matches(F.col(_split(field)[1]), value))
+    if only_in:
+        other, key, condition = only_in
+        rows = rows.join(t[other].filter(condition).select(key), key, "left_semi")
+    wanted = dict.fromkeys([*by, *applied])
+    own = [f for f in by if _split(f)[0] == table]
+    foreign = [f for f in wanted if _split(f)[0] != table]
+    keys = dict.fromkeys([RELATIONSHIPS[table][_split(f)[0]][0] for f in foreign])
+    counted = dict.fromkeys(b.column for b in bases.values() if b.kind == "distinct")
+    keys |= counted
+    own_keys = [F.col(_split(f)[1]).alias(_key_name(f)) for f in own]
+    sums = [b.partial().alias(n) for n, b in bases.items() if b.kind != "distinct"]
+    grouped = rows.groupBy(*own_keys, *[F.col(k) for k in keys])
+    reduced = grouped.agg(*sums) if sums else grouped.agg(F.lit(1).alias("_one"))
+    joined = _add_fields(reduced, t, table, foreign)
+    for field, value in applied.items():
+        if _split(field)[0] != table:
+            joined = joined.filter(_matches(F.col(_key_name(field)), value))
+    groups = [F.col(_key_name(f)).alias(_split(f)[1]) for f in by]
+    return joined.groupBy(*groups).agg(*[b.total(n).alias(n) for n, b in bases.items()])
+
+
 def _base_frames(
     names: Sequence[str], t: Tables, by: Sequence[str], filters: Mapping[str, object]
 ) -> list[tuple[list[str], DataFrame]]:
     """One aggregate per table, with the grouping columns that reach it."""
     groups: dict[tuple, list[str]] = {}
     for name in names:
-        groups.setdefault((MEASURES[name].table, MEASURES[name].only_in), []).append(name)
+        base = MEASURES[name]
+        groups.setdefault((base.table, base.only_in, base.kind == "distinct"), []).append(name)
     out = []
-    for (table, only_in), members in groups.items():
+    for (table, only_in, _), members in groups.items():
         fields = [f for f in by if _reaches(f, table)]
-        rows = _context(t, table, fields, filters)
-        if only_in:
-            other, key, condition = only_in
-            rows = rows.join(t[other].filter(condition).select(key), key, "left_semi")
-        keys = [F.col("_" + f.replace(".", "_")).alias(_split(f)[1]) for f in fields]
-        values = [F.expr(MEASURES[n].value).alias(n) for n in members]
-        out.append(([_split(f)[1] for f in fields], rows.groupBy(*keys).agg(*values)))
+        out.append(([_split(f)[1] for f in fields], _aggregate(t, table, members, fields, filters, only_in)))
     return out
 
 

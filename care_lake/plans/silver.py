@@ -417,12 +417,11 @@ def build_payer(t: Tables) -> DataFrame:
 
 
 def build_coverage(t: Tables) -> DataFrame:
-    """Payer names come from deduplicated payers, so a payer loaded twice does not double its periods."""
+    """Payer types come from the payer table, so a payer that was loaded twice does not double its periods."""
     key = ["PATIENT", "PAYER", "START_DATE"]
-    payers = map_code(latest_by(t["payers"], ["Id"]), t["payer_profile"], "NAME", "payer_name", {
+    raw = map_code(latest_by(t["payer_transitions"], key), t["payer"], "PAYER", "payer_id", {
         "payer_type": "payer_type",
     })
-    raw = map_code(latest_by(t["payer_transitions"], key), payers, "PAYER", "Id", {"payer_type": "payer_type"})
     return _from_csv(raw, {
         "coverage_id": surrogate_key(*key),
         "patient_id": "PATIENT",

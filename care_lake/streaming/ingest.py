@@ -19,6 +19,8 @@ from care_lake.sources.landing import RESCUED, csv_columns, csv_lineage, resourc
 
 LINE = T.StructType([T.StructField("value", T.StringType())])
 BATCH = "batch"
+# a first load of many files runs as several batches, so a failure repeats one of them and not the whole load
+FILES_PER_BATCH = 10_000
 
 
 def start_flow(
@@ -46,6 +48,7 @@ def read_ndjson_stream(spark: SparkSession, path: str, system: str, glob: str =
         spark.readStream.schema(LINE)
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
         .text(path)
         .withColumns(resource_lineage(system))
     )
@@ -71,16 +74,21 @@ def append_flows(spark: SparkSession, sources: Mapping[str, str], checkpoint_roo
 def read_csv_stream(
     spark: SparkSession, path: str, columns: Sequence[str], glob: str = "*.csv", header: bool = True
 ) -> DataFrame:
-    """All columns as text. A line with too many or too few fields is kept whole in ``_rescued_data``."""
+    """All columns as text. A line with too many or too few fields is kept whole in ``_rescued_data``.
+
+    A file whose header names other columns stops the load: reading it by position would mix columns up.
+    """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, RESCUED]])
     return (
         spark.readStream.schema(schema)
         .option("header", header)
+        .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", RESCUED)
         .option("escape", '"')
         .option("pathGlobFilter", glob)
         .option("recursiveFileLookup", True)
+        .option("maxFilesPerTrigger", FILES_PER_BATCH)
         .csv(path)
         .withColumns(csv_lineage())
     )
@@ -93,5 +101,5 @@ def ingest_csv_text(
 
 
 def read_ingested(spark: SparkSession, out: str) -> DataFrame:
-    """All batches of an ingested table."""
-    return spark.read.option("mergeSchema", True).parquet(out).drop(BATCH)
+    """All batches of an ingested table. File footers are not merged; every batch has the same columns."""
+    return spark.read.parquet(out).drop(BATCH)

@@ -135,6 +135,13 @@ def test_bands_include_both_bounds_and_end(spark):
     assert got == {0: 0, 4: 4, 6: 4, 7: None, 10000: None}
 
 
+def test_long_lists_are_not_joined_by_range(spark, monkeypatch):
+    monkeypatch.setattr(lookups, "SHORT_LIST", 2)
+    bands = spark.sql("select 'L' as component, cast(id as string) as lower_bound, cast(id as string) as upper_bound, '1' as points from range(3)")
+    with pytest.raises(ValueError, match="scale L"):
+        lookups.band_lookup(spark.range(3), bands, "L", "id", "p")
+
+
 def test_rules_match_by_kind_and_pick_first_category(spark):
     stays = spark.sql("select * from values ('s1','E1','r1'),('s2','r1','E1'),('s3','E9','r9') as t(id, ec, rc)")
     items = spark.sql("select * from values ('s3','p1'),('s1','p1'),('zz','p1') as t(id, code)")
