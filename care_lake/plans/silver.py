@@ -446,16 +446,17 @@ def build_claim(t: Tables) -> DataFrame:
     )
     for p in positions:
         raw = map_code(raw, reference, p, "snomed_code", {"_found": f"_{p}"})
-    entries = F.array(*[
-        F.struct(F.col(p).alias("snomed"), F.col(f"_{p}.icd10cm_code").alias("icd10"),
-                 F.col(f"_{p}.snomed_description").alias("text"))
-        for p in positions
-    ])
-    listed = raw.withColumn("_dx", F.filter(entries, lambda d: d["snomed"].isNotNull()))
-    listed = listed.withColumn("_mapped", F.filter("_dx", lambda d: d["icd10"].isNotNull()))
-    principal = F.get("_mapped", F.lit(0))
-    has_codes = F.size("_dx") > 0
-    return _from_csv(listed, {
+    icd10 = [F.col(f"_{p}.icd10cm_code") for p in positions]
+
+    def first_where_mapped(values: list[Column]) -> Column:
+        return F.coalesce(*[F.when(code.isNotNull(), value) for code, value in zip(icd10, values)])
+
+    def listed(values: list[Column]) -> Column:
+        """Values in order of position, each once; NULL for a claim without any diagnosis."""
+        given = F.coalesce(*positions).isNotNull()
+        return F.when(given, F.array_distinct(F.array_compact(F.array(*values))))
+
+    return _from_csv(raw, {
         "claim_id": "Id",
         "patient_id": "PATIENTID",
         "encounter_id": "APPOINTMENTID",
@@ -468,13 +469,13 @@ def build_claim(t: Tables) -> DataFrame:
         "secondary_claim_type": decode("HEALTHCARECLAIMTYPEID2", fixed.CLAIM_TYPE),
         "service_date": ts_to_date("SERVICEDATE"),
         "current_illness_date": ts_to_date("CURRENTILLNESSDATE"),
-        "principal_diagnosis_snomed_code": principal["snomed"],
-        "principal_diagnosis_icd10cm_code": principal["icd10"],
-        "principal_diagnosis_description": principal["text"],
-        "diagnosis_snomed_codes": F.when(has_codes, F.array_distinct(F.transform("_dx", lambda d: d["snomed"]))),
-        "diagnosis_icd10cm_codes": F.when(
-            has_codes, F.array_distinct(F.transform("_mapped", lambda d: d["icd10"]))
+        "principal_diagnosis_snomed_code": first_where_mapped([F.col(p) for p in positions]),
+        "principal_diagnosis_icd10cm_code": F.coalesce(*icd10),
+        "principal_diagnosis_description": first_where_mapped(
+            [F.col(f"_{p}.snomed_description") for p in positions]
         ),
+        "diagnosis_snomed_codes": listed([F.col(p) for p in positions]),
+        "diagnosis_icd10cm_codes": listed(icd10),
         "primary_status": "STATUS1",
         "secondary_status": "STATUS2",
         "patient_status": "STATUSP",
