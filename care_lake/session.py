@@ -22,20 +22,28 @@ def build_session(app: str = "care_lake", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+_OWN_FOLDERS: dict[str, str] = {}
+
+
+def _configured_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
     Without that setting only a local session may fall back on a folder of its own; on a cluster
     a machine-local folder would be lost with its executor, so that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = _configured_folder(spark)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="care-lake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="care-lake-")
+    return _OWN_FOLDERS[app]
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 
 from care_lake.operators.dedup import latest_by
 from care_lake.operators.lookups import map_code
-from care_lake.plans import admissions, gold, patient
+from care_lake.plans import admissions, gold, patient, reports
 from workload.standin import PERIOD, lake, read
 
 SF = "/root/testdata/sf0.001"
@@ -69,6 +69,24 @@ def test_only_scales_and_patterns_are_joined_without_an_equality(t):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
+def test_one_patient_is_found_by_filter(t):
+    assert "EqualTo(patient_id,12)" in plan(reports.patient_summary(t, "12"))
+    assert "EqualTo(patient_id,12)" in plan(reports.patient_labs(t, "12"))
+
+
+def test_measures_shrink_before_they_meet_a_dimension(spark, t):
+    """Only sums per key are shuffled, even when the dimension is too large to broadcast."""
+    t["fact_encounter"], t["dim_provider"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(reports.paid_by_provider(t))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scan = text.index("FileScan parquet [provider_id")
+    assert "partial_sum" in text[:scan] and "SortMergeJoin" in text
+    assert text[:scan].rindex("partial_sum") > text[:scan].rindex("Exchange")
+
+
 def test_tiers_do_not_sort_or_join_the_rows(t):
     from care_lake.operators.score import percentile_tier
 

@@ -65,6 +65,61 @@ def r04(spark, sf_dir):
     )
 
 
+HOT = "CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE o_custkey END"
+
+
+def _hot_orders(spark, sf_dir):
+    """Orders of which one customer owns a third."""
+    return _orders(spark, sf_dir).withColumn("owner", F.expr(HOT)).select(
+        "o_orderkey", "owner", "o_orderstatus", "day",
+        (F.col("o_orderdate") + F.expr("make_dt_interval(0, cast(o_orderkey % 24 as int))")).alias("at"),
+    )
+
+
+@query("r04_hot_key", f"""
+SELECT i.o_orderkey, n.o_orderkey AS next_order FROM (SELECT *, {HOT} AS owner FROM orders WHERE o_orderstatus = 'P') i
+LEFT JOIN (SELECT *, {HOT} AS owner FROM orders WHERE o_orderstatus <> 'O') n ON n.owner = i.owner
+  AND n.o_orderkey <> i.o_orderkey AND n.o_orderdate BETWEEN i.o_orderdate + INTERVAL 1 DAY AND i.o_orderdate + INTERVAL 30 DAY
+QUALIFY row_number() OVER (PARTITION BY i.o_orderkey ORDER BY n.o_orderdate, n.o_orderkey) = 1""")
+def r04_hot(spark, sf_dir):
+    orders = _hot_orders(spark, sf_dir)
+    return episodes.first_followup(
+        orders.filter("o_orderstatus = 'P'"), orders.filter("o_orderstatus <> 'O'"),
+        key="owner", anchor_id="o_orderkey", anchor_day="day", event_id="o_orderkey", event_day="day",
+        event_order="day", payload=[], days=FOLLOW_UP_DAYS, out="next",
+    ).select("o_orderkey", F.col("next._id").alias("next_order"))
+
+
+@query("r07_hot_key", f"""
+SELECT i.o_orderkey, count(n.o_orderkey) > 0 AS preceded
+FROM (SELECT o_orderkey, {HOT} AS owner, o_orderdate + to_hours(o_orderkey % 24) AS at FROM orders WHERE o_orderstatus = 'P') i
+LEFT JOIN (SELECT o_orderkey, {HOT} AS owner, o_orderdate + to_hours(o_orderkey % 24) AS at FROM orders
+    WHERE o_orderstatus = 'F') n
+  ON n.owner = i.owner AND n.at BETWEEN i.at - INTERVAL 12 HOUR AND i.at + INTERVAL 1 HOUR
+GROUP BY ALL""")
+def r07_hot(spark, sf_dir):
+    orders = _hot_orders(spark, sf_dir)
+    return episodes.has_event_within(
+        orders.filter("o_orderstatus = 'P'"), orders.filter("o_orderstatus = 'F'"), key="owner", anchor_ts="at",
+        event_ts="at", seconds=(-12 * 3600, 3600), out="preceded",
+    ).select("o_orderkey", "preceded")
+
+
+@query("r08_hot_key", f"""
+SELECT i.o_orderkey, count(n.o_orderkey) AS earlier
+FROM (SELECT o_orderkey, {HOT} AS owner, o_orderdate + to_hours(o_orderkey % 24) AS at FROM orders WHERE o_orderstatus = 'P') i
+LEFT JOIN (SELECT o_orderkey, {HOT} AS owner, o_orderdate + to_hours(o_orderkey % 24) AS at FROM orders
+    WHERE o_orderstatus = 'F') n
+  ON n.owner = i.owner AND n.at >= i.at - INTERVAL 180 DAY AND n.at < i.at - INTERVAL 12 HOUR
+GROUP BY ALL""")
+def r08_hot(spark, sf_dir):
+    orders = _hot_orders(spark, sf_dir)
+    return episodes.count_between(
+        orders.filter("o_orderstatus = 'P'"), orders.filter("o_orderstatus = 'F'"), key="owner", anchor_ts="at",
+        event_ts="at", seconds=(-180 * DAY, -DAY // 2), out="earlier",
+    ).select("o_orderkey", "earlier")
+
+
 @query("r04_readmission", """
 SELECT i.encounter_id, r.readmission_encounter_id, r.days_to_readmission,
   CAST(r.readmission_cost AS DOUBLE) AS readmission_cost
