@@ -27,6 +27,15 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_results_use_types_both_engines_print_alike(con):
+    plain = {"VARCHAR", "BIGINT", "DOUBLE", "BOOLEAN"}
+    odd = {
+        (name, column, kind) for name, sql in ORACLE.items()
+        for column, kind, *_ in con.execute(f"DESCRIBE {sql}").fetchall() if kind not in plain
+    }
+    assert odd == set()
+
+
 def test_flagship(spark):
     got = {r.o_orderpriority: (r.index_orders, r.followed, r.days_sum) for r in entry.entry(spark).collect()}
     assert got == {

@@ -17,7 +17,7 @@ from workload.standin import FHIR_CONDITION, FHIR_ENCOUNTER, FHIR_PATIENT, lake,
 @query("p01_safe_cast", """
 SELECT o_orderkey, TRY_CAST(left(o_orderpriority, 1) AS BIGINT) AS whole, TRY_CAST(o_orderpriority AS DOUBLE) AS bad,
   CAST(TRY_CAST(strftime(o_orderdate, '%Y-%m-%d') AS DATE) AS VARCHAR) AS day,
-  TRY_CAST(o_orderstatus || '1' AS DATE) AS no_day, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
+  CAST(TRY_CAST(o_orderstatus || '1' AS DATE) AS VARCHAR) AS no_day, CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS price,
   CAST(o_orderdate AS VARCHAR) AS at
 FROM orders""")
 def p01(spark, sf_dir):
@@ -114,7 +114,7 @@ def p11(spark, sf_dir):
 
 
 @query("p12_conditional_amount", """
-SELECT l_orderkey, l_linenumber, l_partkey,
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey,
   CASE l_returnflag WHEN 'A' THEN CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS DOUBLE) END AS charge FROM lineitem""")
 def p12(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select(

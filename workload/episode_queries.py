@@ -209,7 +209,7 @@ def r10(spark, sf_dir):
 
 
 @query("r11_percentile_tier", """
-SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN r < 0.10 THEN 'High' WHEN r < 0.30 THEN 'Medium' ELSE 'Low' END AS tier
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, CASE WHEN r < 0.10 THEN 'High' WHEN r < 0.30 THEN 'Medium' ELSE 'Low' END AS tier
 FROM (SELECT l_orderkey, l_linenumber, l_partkey, percent_rank() OVER (ORDER BY
   CASE WHEN l_quantity < 49 THEN CAST(l_quantity AS INTEGER) END DESC NULLS LAST) AS r FROM lineitem)""")
 def r11(spark, sf_dir):

@@ -19,7 +19,7 @@ LATEST_LINE = ["l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"]
 
 
 @query("u01_latest_by", """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM x_line""")
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, CAST(l_shipdate AS VARCHAR) AS l_shipdate FROM x_line""")
 def u01(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem")
     newest = dedup.latest_by(lines, ["l_orderkey", "l_linenumber"], [F.col(c).desc() for c in LATEST_LINE])
@@ -72,8 +72,8 @@ def u05(spark, sf_dir):
 
 
 @query("u06_pick_best", """
-SELECT p_type, p_brand, p_name, p_size FROM part QUALIFY row_number() OVER (PARTITION BY p_type
-  ORDER BY p_size DESC, p_brand = 'Brand#5', p_name, p_partkey) = 1""")
+SELECT p_type, p_brand, p_name, CAST(p_size AS BIGINT) AS p_size FROM part QUALIFY row_number() OVER (PARTITION BY p_type
+  ORDER BY part.p_size DESC, p_brand = 'Brand#5', p_name, p_partkey) = 1""")
 def u06(spark, sf_dir):
     order = [F.col("p_size").desc(), F.col("p_brand") == "Brand#5", F.col("p_name"), F.col("p_partkey")]
     return dedup.pick_best(read(spark, sf_dir, "part"), ["p_type"], order).select(
@@ -98,7 +98,7 @@ def u08(spark, sf_dir):
 
 
 @query("j01_map_code", """
-SELECT l_orderkey, l_linenumber, l_partkey, p_name, p_type FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""")
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, p_name, p_type FROM lineitem LEFT JOIN part ON p_partkey = l_partkey""")
 def j01(spark, sf_dir):
     lines = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
     return lookups.map_code(
@@ -123,7 +123,7 @@ def j03(spark, sf_dir):
 
 
 @query("j04_map_with_rules", """
-SELECT l_orderkey, l_linenumber, l_partkey, p.code, c.billing_code, c.service_category, c.code_mapping
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, p.code, c.billing_code, c.service_category, c.code_mapping
 FROM x_procedure_text p LEFT JOIN x_procedure_code c ON c.code = p.code""")
 def j04(spark, sf_dir):
     text = (
@@ -202,7 +202,7 @@ def j10(spark, sf_dir):
     return ranged.withColumn("flag", flag).groupBy("event_type", "flag").agg(F.count("*").alias("results"))
 
 
-@query("j11_unpivot_codes", "SELECT 'cl' || o_orderkey AS claim_id, position, code FROM x_claim_dx")
+@query("j11_unpivot_codes", "SELECT 'cl' || o_orderkey AS claim_id, CAST(position AS BIGINT) AS position, code FROM x_claim_dx")
 def j11(spark, sf_dir):
     return lookups.unpivot_codes(_claims(spark, sf_dir), "claim_id", [f"DIAGNOSIS{i}" for i in range(1, 9)])
 
@@ -234,7 +234,7 @@ def j13(spark, sf_dir):
 
 
 @query("j14_band_lookup", """
-SELECT l_linenumber, count(*) AS lines, CAST(sum(CASE WHEN l_quantity > 13 THEN 7 WHEN l_quantity > 6 THEN 5
+SELECT CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS lines, CAST(sum(CASE WHEN l_quantity > 13 THEN 7 WHEN l_quantity > 6 THEN 5
   WHEN l_quantity > 3 THEN 4 ELSE l_quantity END) AS BIGINT) AS points FROM lineitem GROUP BY ALL""")
 def j14(spark, sf_dir):
     days = read(spark, sf_dir, "lineitem").selectExpr("l_linenumber", "cast(l_quantity as int) as days")

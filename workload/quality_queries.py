@@ -38,7 +38,7 @@ def x01(spark, sf_dir):
 
 
 @query("x01_bronze_expectations", " UNION ALL ".join(
-    f"SELECT 'bronze.{t}' AS table_name, '{name}' AS expectation, {count} AS passed_rows, 0 AS failed_rows FROM {source}"
+    f"SELECT 'bronze.{t}' AS table_name, '{name}' AS expectation, {count} AS passed_rows, CAST(0 AS BIGINT) AS failed_rows FROM {source}"
     for t, name, count, source in [
         ("patients", "has_patient_id", "count(*) + count(*) FILTER (WHERE c_mktsegment = 'BUILDING')", "customer"),
         ("organizations", "has_organization_id", "count(*)", "nation"),
@@ -119,7 +119,7 @@ def x06(spark, sf_dir):
 
 @query("x07_null_counts", """
 SELECT count(*) AS total_rows, count(*) - count(CASE WHEN o_orderstatus <> 'O' THEN 1 END) AS null_status,
-  0 AS null_o_custkey FROM orders""")
+  CAST(0 AS BIGINT) AS null_o_custkey FROM orders""")
 def x07(spark, sf_dir):
     orders = read(spark, sf_dir, "orders").withColumn("status", F.nullif("o_orderstatus", F.lit("O")))
     return q.null_counts(orders, ["status", "o_custkey"])
