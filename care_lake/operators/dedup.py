@@ -20,15 +20,19 @@ def pick_best(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: in
     return df.withColumn(RANK, F.row_number().over(window)).filter(F.col(RANK) <= n).drop(RANK)
 
 
+LOAD_COLUMNS = (
+    "_ingested_at", "ingested_at", "_source_file_modified_at", "source_file_modified_at", "_source_file", "source_file",
+)
+OTHER_LINEAGE = ("_run_id", "run_id", "extract_date")
+
+
 def load_order(df: DataFrame) -> list[Column]:
-    """Newest load first. Copies from one load are told apart by file and, last, by content."""
-    names = [
-        c
-        for c in ("_ingested_at", "ingested_at", "_source_file_modified_at", "source_file_modified_at",
-                  "_source_file", "source_file")
-        if c in df.columns
-    ]
-    return [F.col(c).desc() for c in names] + [F.xxhash64(*df.columns)]
+    """Newest load first. Copies from one load are told apart by file and, last, by content.
+
+    The content hash leaves lineage out, so loading the same file again picks the same copy.
+    """
+    content = [c for c in df.columns if c not in (*LOAD_COLUMNS, *OTHER_LINEAGE)]
+    return [F.col(c).desc() for c in LOAD_COLUMNS if c in df.columns] + [F.xxhash64(*content)]
 
 
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
