@@ -93,7 +93,7 @@ def _stream(min_docs: int):
 
 def _bitmap(places: pa.Array) -> pa.Array:
     def one(found) -> bytes:
-        keep = np.ones(max(found) + 1, bool)
+        keep = np.ones(max(found) // 8 * 8 + 8, bool)  # whole bytes
         keep[found] = False
         return zlib.compress(np.packbits(keep).tobytes())
 
