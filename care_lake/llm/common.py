@@ -48,9 +48,15 @@ def numbered(df: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def process_cache(name: str) -> dict:
-    """A dict that lives as long as the Python worker, so that later tasks find what earlier ones made."""
-    return vars(sys).setdefault("_care_lake_llm", {}).setdefault(name, {})
+def process_cache(name: str, version: object = None) -> dict:
+    """A dict that lives as long as the Python worker, so that later tasks find what earlier ones made.
+
+    Another ``version`` empties it.
+    """
+    held = vars(sys).setdefault("_care_lake_llm", {})
+    if name not in held or held[name][0] != version:
+        held[name] = (version, {})
+    return held[name][1]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:

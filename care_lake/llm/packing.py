@@ -105,9 +105,9 @@ def _token_bytes(held: dict, texts: list[str]) -> list[bytes]:
 
 def _first_pass(tokenizer: str, size: int, most: int, least_cut: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = process_cache("packing")
-        if held.get("model") != tokenizer:
-            held.update(model=tokenizer, tokenizer=tokenizers.Tokenizer.from_str(tokenizer), words={})
+        held = process_cache("packing", tokenizer)
+        if not held:
+            held.update(tokenizer=tokenizers.Tokenizer.from_str(tokenizer), words={})
         base = TaskContext.get().partitionId() << 32
         end = end_id.to_bytes(4, "little")
 

@@ -137,9 +137,9 @@ class Vocabulary:
 
 
 def _vocabulary(model: bytes) -> Vocabulary:
-    held = process_cache("pieces")
-    if held.get("model") != model:
-        held.update(model=model, vocabulary=Vocabulary(model), parts={}, texts={})
+    held = process_cache("pieces", model)
+    if not held:
+        held.update(vocabulary=Vocabulary(model), parts={})
     return held["vocabulary"]
 
 
@@ -160,7 +160,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
-        end, cache = vocabulary.end.to_bytes(4, "little"), process_cache("pieces")["parts"]
+        end, cache = vocabulary.end.to_bytes(4, "little"), process_cache("pieces", model)["parts"]
         for batch in slices(batches, text_col):
             texts = [vocabulary.parts(t or "") for t in batch.column(text_col).to_pylist()]
             ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 600_000).__getitem__

@@ -155,7 +155,7 @@ def _counted(bitmap: bytes):
         return ((bits[h // 32] >> (h % 32).astype(np.uint32)) & 1).astype(bool).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = process_cache(f"pii {crc32(bitmap)}")
+        cache = process_cache("pii", bitmap)
         counts: Counter = Counter()
         for batch in slices(batches, "text"):
             words = [set(WORD.findall((t or "").lower())) for t in batch.column("text").to_pylist()]

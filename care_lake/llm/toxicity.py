@@ -162,7 +162,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def _score(model: Model):
     def run(texts: pa.Array) -> pa.Array:
-        cache = process_cache(f"toxicity {hash(frozenset(model.weights.items()))}")
+        cache = process_cache("toxicity", hash(frozenset(model.weights)))
 
         def hits(words: list[str]) -> list[tuple]:
             return [tuple(f for f in features(w) if f in model.weights) for w in words]
