@@ -1,8 +1,9 @@
 """Code mapping.
 
 Lookups are joined without a broadcast hint: they are read from files, so Spark knows their size,
-broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it. Only lists that
-are joined by range or pattern carry a hint, and those are counted first.
+broadcasts them below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles beyond it. Lists that are
+matched by range or pattern meet the distinct values of a column, never its rows; the rows get the
+result by an equality join.
 """
 
 from __future__ import annotations
@@ -13,20 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_lake.operators.dedup import pick_best
-from care_lake.session import staged
-
-
-SHORT_LIST = 10_000
-
-
-def short_list(df: DataFrame, what: str) -> DataFrame:
-    """Broadcast a list that is joined by range or pattern, after counting that it is short.
-
-    Such a join compares every row with every entry of the list, so a long one is refused.
-    """
-    if df.limit(SHORT_LIST + 1).count() > SHORT_LIST:
-        raise ValueError(f"{what} has more than {SHORT_LIST} entries; it cannot be joined by range or pattern")
-    return F.broadcast(df)
 
 
 def map_code(
@@ -53,7 +40,7 @@ def first_matching_rule(
     Works on distinct (code, text) pairs, so the pattern matching does not grow with the rows.
     """
     pairs = df.select(code, text).distinct()
-    hits = pairs.join(short_list(rules, "rule list"), F.rlike(F.col(text), F.col(pattern)))
+    hits = pairs.join(rules, F.rlike(F.col(text), F.col(pattern)))
     best = pick_best(hits, [code], [F.col(priority).cast("int"), F.col(pattern)])
     return best.select(code, *cols)
 
@@ -71,7 +58,7 @@ def map_with_rules(
     tag: str = "code_mapping",
 ) -> DataFrame:
     """Explicit map first, then the first matching description rule; ``tag`` tells which one was used."""
-    by_rule = staged(first_matching_rule(df, code, text, rules, pattern, priority, list(cols)), "rule_match")
+    by_rule = first_matching_rule(df, code, text, rules, pattern, priority, list(cols))
     exact = explicit.select(
         F.col(explicit_key).alias("_map_key"), F.struct(*[F.col(c) for c in cols]).alias("_map")
     )
@@ -127,14 +114,16 @@ def band_lookup(
 ) -> DataFrame:
     """Points of the band (bounds included) a value falls in; NULL outside all bands.
 
-    ``bands`` is a short scale, one component of it is joined by range.
+    The bands of one component are joined by range to the distinct values, and the rows to those by equality.
     """
     part = bands.filter(F.col("component") == component).select(
         F.col("lower_bound").cast("int").alias("_lo"),
         F.col("upper_bound").cast("int").alias("_hi"),
         F.col("points").cast("int").alias(points),
     )
-    return df.join(short_list(part, f"scale {component}"), F.col(value).between(F.col("_lo"), F.col("_hi")), "left").drop("_lo", "_hi")
+    values = df.select(F.col(value).alias("_value")).distinct()
+    found = values.join(part, F.col("_value").between(F.col("_lo"), F.col("_hi"))).select("_value", points)
+    return df.join(found, F.col(value) == F.col("_value"), "left").drop("_value")
 
 
 def match_rules(

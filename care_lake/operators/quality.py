@@ -85,8 +85,8 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     )
 
 
-def multi_file_ids(df: DataFrame, by: Sequence[str], file: str, limit: int | None = 100) -> DataFrame:
-    """Ids that occur in more than one file."""
+def multi_file_ids(df: DataFrame, by: Sequence[str], file: str, limit: int | None = None) -> DataFrame:
+    """Ids that occur in more than one file; a caller that wants a short report sets ``limit``."""
     found = df.groupBy(*by).agg(F.count_distinct(file).alias("files")).filter("files > 1")
     return found if limit is None else found.orderBy(*by).limit(limit)
 
@@ -145,8 +145,10 @@ def validate_codes(used: DataFrame, code: str, official: DataFrame) -> DataFrame
     )
 
 
-def raise_if(problems: DataFrame, text: Column, message: str, limit: int = 100) -> None:
-    """Stop with a message that names the first problems of a small report."""
-    found = [r[0] for r in problems.select(text).limit(limit).collect()]
-    if found:
-        raise GateError(f"{message}: {'; '.join(found)}")
+def raise_if(problems: DataFrame, text: Column, message: str, named: int = 100) -> None:
+    """Stop with a message that counts all problems and names the first ``named`` of them."""
+    total = problems.count()
+    if total:
+        found = [r[0] for r in problems.select(text.alias("problem")).orderBy("problem").limit(named).collect()]
+        more = f"; and {total - len(found)} more" if total > len(found) else ""
+        raise GateError(f"{message} ({total}): {'; '.join(found)}{more}")

@@ -7,23 +7,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from care_lake.session import shared_folder
+from care_lake.session import staged
 
 
 def score_ranks(df: DataFrame, score: str) -> DataFrame:
     """Percent rank of every distinct score, highest first, NULL last.
 
-    The rank of a row is (rows with a higher score) / (rows - 1). Rows are counted per score first,
-    so the window runs over the distinct values of the scale only.
+    The rank of a row is (rows with a higher score) / (rows - 1). Rows are counted per score, the scores sorted in
+    ranges and written; the rows above a score are those above it in its range plus those of the ranges before.
+    So a score that is different in nearly every row is ranked by as many tasks as any sort.
     """
+    highest = F.col(score).desc_nulls_last()
     counts = df.groupBy(score).agg(F.count("*").alias("rows"))
-    higher_first = Window.orderBy(F.col(score).desc_nulls_last())
-    above = F.coalesce(
-        F.sum("rows").over(higher_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    ranges = counts.repartitionByRange(highest).withColumn("_range", F.spark_partition_id())
+    ordered = staged(ranges, "score_ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
+    sizes = ordered.groupBy("_range").agg(F.sum("rows").alias("_n")).select(
+        F.col("_range"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total")
     )
-    total = F.sum("rows").over(Window.partitionBy())
-    return counts.select(
-        score, "rows", F.when(total > 1, above / (total - 1)).otherwise(F.lit(0.0)).alias("percentile_from_top")
+    inside = Window.partitionBy("_range").orderBy(highest).rowsBetween(Window.unboundedPreceding, -1)
+    above = F.col("_before") + F.coalesce(F.sum("rows").over(inside), F.lit(0))
+    return ordered.join(sizes, "_range").select(
+        score, "rows", F.when(F.col("_total") > 1, above / (F.col("_total") - 1)).otherwise(F.lit(0.0)).alias("percentile_from_top")
     )
 
 
@@ -40,26 +45,21 @@ def percentile_tier(
     floors = [F.min(F.when(value.isNotNull() & (rank < cut), value)).alias(f"floor_{i}") for i, (_, cut) in enumerate(cuts)]
     unscored = F.min(F.when(value.isNull(), rank)).alias("unscored")
     limits = ranks.agg(*floors, unscored).select(F.struct("*")).scalar()
-    tier = F
-    missing = F
-    for i, (label, cut) in enumerate(cuts):
-        tier = tier.when(value >= limits[f"floor_{i}"], label)
-        missing = missing.when(limits["unscored"] < cut, label)
-    return df.withColumn(out, F.when(value.isNull(), missing.otherwise(lowest)).otherwise(tier.otherwise(lowest)))
+    tier = missing = F.lit(lowest)
+    for i, (label, cut) in reversed(list(enumerate(cuts))):
+        tier = F.when(value >= limits[f"floor_{i}"], label).otherwise(tier)
+        missing = F.when(limits["unscored"] < cut, label).otherwise(missing)
+    return df.withColumn(out, F.when(value.isNull(), missing).otherwise(tier))
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Number the rows 1..n over the whole table without pulling them into one task.
 
-    ``order`` must be total. The rows are sorted in ranges and kept in that order by a checkpoint;
-    a row's number is its place in its range plus the size of the ranges before it.
+    ``order`` must be total. The rows are sorted in ranges and written with their place; a row's number is its place in its range plus the size
+    of the ranges before it.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    ordered = df.orderBy(*order).checkpoint()
-    place = ordered.withColumn("_place", F.monotonically_increasing_id())
     # monotonically_increasing_id puts the partition above bit 33 and the row number below it
+    place = staged(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "global_rank")
     place = place.withColumn("_range", F.shiftright("_place", 33)).withColumn(
         "_row", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
     )
@@ -69,9 +69,8 @@ def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
         .agg(F.count("*").alias("_n"))
         .select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     )
-    # one row per partition of the sort, so the broadcast is limited by the number of tasks
     return (
-        place.join(F.broadcast(sizes), "_range")
+        place.join(sizes, "_range")  # sizes has a row per partition of the sort
         .withColumn(out, (F.col("_before") + F.col("_row") + 1).cast("long"))
         .drop("_place", "_range", "_row", "_before")
     )

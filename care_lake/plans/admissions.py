@@ -167,11 +167,15 @@ def lace_inputs(t: Tables, period: Period) -> DataFrame:
     flagged = staged(flag_planned(inpatient, t), "stays")
     index = index_stays(flagged, period)
     ed = ed_visits(t)
-    out = with_readmission(index, flagged)
+    # the operators shuffle by patient and day again and again: ids and times only, the wide rows join once
+    narrow = index.select("encounter_id", "patient_id", "start_ts", "admit_date", "discharge_date")
+    out = with_readmission(narrow, flagged.select(
+        "encounter_id", "patient_id", "start_ts", "admit_date", "medical_cost", "payer_paid", "is_planned"))
     out = with_post_discharge_ed(out, ed, inpatient)
     out = with_came_through_ed(out, ed)
     out = with_prior_ed(out, ed)
-    return with_charlson(out, t)
+    out = with_charlson(out, t).drop("patient_id", "start_ts", "admit_date", "discharge_date")
+    return index.join(out, "encounter_id")
 
 
 def build_fact_index_admission(t: Tables, period: Period) -> DataFrame:

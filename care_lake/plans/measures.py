@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -168,6 +170,12 @@ def _key_name(field: str) -> str:
     return "_" + field.replace(".", "_")
 
 
+def column_names(by: Sequence[str]) -> list[str]:
+    """Name of each grouping column in a result: the column's own where that is unique, else with its table."""
+    short = [_split(f)[1] for f in by]
+    return [s if short.count(s) == 1 else f.replace(".", "_") for f, s in zip(by, short)]
+
+
 def _add_fields(rows: DataFrame, t: Tables, table: str, fields: Sequence[str]) -> DataFrame:
     """Add columns of related dimensions under their key names."""
     out = rows
@@ -187,10 +195,11 @@ def _aggregate(
     t: Tables, table: str, members: Sequence[str], by: Sequence[str], filters: Mapping[str, object],
     only_in: tuple[str, str, str] | None,
 ) -> DataFrame:
-    """Measures of one table per group.
+    """Measures of one table per group, under the key names of their fields.
 
-    Rows are first added up per combination of their own keys. Only those few combinations meet the
-    dimensions, so neither a large dimension nor a key that owns many rows makes the table be shuffled.
+    Filters come first: a filtered dimension is cut to its matching keys, and rows without such a key are left
+    out as the table is read. The other rows are added up per combination of their own keys; only those few
+    combinations meet the dimensions that groups are named by.
     """
     bases = {n: MEASURES[n] for n in members}
     applied = {f: v for f, v in filters.items() if _reaches(f, table)}
@@ -201,9 +210,15 @@ def _aggregate(
     if only_in:
         other, key, condition = only_in
         rows = rows.join(t[other].filter(condition).select(key), key, "left_semi")
-    wanted = dict.fromkeys([*by, *applied])
+    for dim in dict.fromkeys(_split(f)[0] for f in applied if _split(f)[0] != table):
+        fact_key, dim_key = RELATIONSHIPS[table][dim]
+        members_of = t[dim]
+        for field, value in applied.items():
+            if _split(field)[0] == dim:
+                members_of = members_of.filter(_matches(F.col(_split(field)[1]), value))
+        rows = rows.join(members_of.select(F.col(dim_key).alias("_dim_key")), F.col(fact_key) == F.col("_dim_key"), "left_semi")
     own = [f for f in by if _split(f)[0] == table]
-    foreign = [f for f in wanted if _split(f)[0] != table]
+    foreign = [f for f in by if _split(f)[0] != table]
     keys = dict.fromkeys([RELATIONSHIPS[table][_split(f)[0]][0] for f in foreign])
     counted = dict.fromkeys(b.column for b in bases.values() if b.kind == "distinct")
     keys |= counted
@@ -212,11 +227,7 @@ def _aggregate(
     grouped = rows.groupBy(*own_keys, *[F.col(k) for k in keys])
     reduced = grouped.agg(*sums) if sums else grouped.agg(F.lit(1).alias("_one"))
     joined = _add_fields(reduced, t, table, foreign)
-    for field, value in applied.items():
-        if _split(field)[0] != table:
-            joined = joined.filter(_matches(F.col(_key_name(field)), value))
-    groups = [F.col(_key_name(f)).alias(_split(f)[1]) for f in by]
-    return joined.groupBy(*groups).agg(*[b.total(n).alias(n) for n, b in bases.items()])
+    return joined.groupBy(*[_key_name(f) for f in by]).agg(*[b.total(n).alias(n) for n, b in bases.items()])
 
 
 def _base_frames(
@@ -230,15 +241,19 @@ def _base_frames(
     out = []
     for (table, only_in, _), members in groups.items():
         fields = [f for f in by if _reaches(f, table)]
-        out.append(([_split(f)[1] for f in fields], _aggregate(t, table, members, fields, filters, only_in)))
+        out.append(([_key_name(f) for f in fields], _aggregate(t, table, members, fields, filters, only_in)))
     return out
 
 
 def measure(
     names: Sequence[str], t: Tables, by: Sequence[str] = (), filters: Mapping[str, object] | None = None
 ) -> DataFrame:
-    """Evaluate measures, grouped by ``table.column`` fields and restricted by ``{field: value(s)}``."""
-    keys = [_split(f)[1] for f in by]
+    """Evaluate measures, grouped by ``table.column`` fields and restricted by ``{field: value(s)}``.
+
+    Rows that a dimension does not know form a blank group, in each measure of a ratio.
+    """
+    by = list(dict.fromkeys(by))
+    keys = [_key_name(f) for f in by]
     frames = _base_frames(_needed(names), t, by, filters or {})
     full = [df for reach, df in frames if reach == keys]
     if not full:
@@ -253,11 +268,14 @@ def measure(
         if reach == keys:
             continue
         if reach:
-            out = out.join(df, reach, "left")
+            right = df.withColumnsRenamed({k: f"{k}_right" for k in reach})
+            same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}_right")) for k in reach])
+            out = out.join(right, same, "left").drop(*[f"{k}_right" for k in reach])
         else:
             out = out.withColumns({c: df.select(c).scalar() for c in df.columns})
     computed = {n: _evaluate(n) for n in names}
-    shown = out.select(*keys, *[c.alias(n) for n, c in computed.items()])
+    groups = [F.col(k).alias(n) for k, n in zip(keys, column_names(by))]
+    shown = out.select(*groups, *[c.alias(n) for n, c in computed.items()])
     if not keys:
         return shown
     anything = F.coalesce(*[F.col(n).cast("string") for n in names]).isNotNull()

@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from care_lake.plans.measures import measure
+from care_lake.plans.measures import RELATIONSHIPS, measure
 
 Tables = Mapping[str, DataFrame]
 Filters = Mapping[str, object] | None
@@ -156,6 +156,10 @@ def index_stays_with_outcome(t: Tables) -> DataFrame:
     ).orderBy(F.desc("discharge_date"), "encounter_id")
 
 
-def slicer(t: Tables, table: str, column: str) -> DataFrame:
-    """Values a reader can choose from."""
-    return t[table].select(column).dropna().distinct().orderBy(column)
+def slicer(t: Tables, table: str, column: str, used_in: str | None = None) -> DataFrame:
+    """Values a reader can choose from; with ``used_in`` only those that rows of a related table have."""
+    rows = t[table]
+    if used_in is not None:
+        fact_key, dim_key = RELATIONSHIPS[used_in][table]
+        rows = rows.join(t[used_in].select(F.col(fact_key).alias("_used")), F.col(dim_key) == F.col("_used"), "left_semi")
+    return rows.select(column).dropna().distinct().orderBy(column)

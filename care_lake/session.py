@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,28 +21,17 @@ def build_session(app: str = "care_lake", **settings: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-_OWN_FOLDERS: dict[str, str] = {}
-
-
 def _configured_folder(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, a folder in the warehouse.
 
-    Without that setting only a local session may fall back on a folder of its own; on a cluster
-    a machine-local folder would be lost with its executor, so that is an error.
+    Both are reached by every executor of a cluster, so a lost one never takes results along.
     """
-    folder = _configured_folder(spark)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _OWN_FOLDERS:
-        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="care-lake-")
-    return _OWN_FOLDERS[app]
+    folder = _configured_folder(spark) or spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
+    return folder.rstrip("/")
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

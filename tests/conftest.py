@@ -9,13 +9,15 @@ from care_lake.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session("tests", **{
         "spark.master": "local[8]",
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
     })
     session.sparkContext.setLogLevel("ERROR")
     yield session

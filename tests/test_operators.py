@@ -135,11 +135,13 @@ def test_bands_include_both_bounds_and_end(spark):
     assert got == {0: 0, 4: 4, 6: 4, 7: None, 10000: None}
 
 
-def test_long_lists_are_not_joined_by_range(spark, monkeypatch):
-    monkeypatch.setattr(lookups, "SHORT_LIST", 2)
-    bands = spark.sql("select 'L' as component, cast(id as string) as lower_bound, cast(id as string) as upper_bound, '1' as points from range(3)")
-    with pytest.raises(ValueError, match="scale L"):
-        lookups.band_lookup(spark.range(3), bands, "L", "id", "p")
+def test_long_scales_and_rule_lists(spark):
+    bands = spark.sql("select 'L' as component, cast(id * 10 as string) as lower_bound, cast(id * 10 + 9 as string) as upper_bound, cast(id % 7 as string) as points from range(20000)")
+    df = spark.sql("select id * 997 as v from range(300)")
+    assert {r.v: r.p for r in lookups.band_lookup(df, bands, "L", "v", "p").collect()} == {i * 997: i * 997 // 10 % 7 if i * 997 < 200000 else None for i in range(300)}
+    rules = spark.sql("select cast(id as string) as priority, concat('^t', id, '$') as pattern, id as c from range(20000)")
+    texts = spark.createDataFrame([("a", "t19999"), ("a", "t17"), ("b", "t5000"), ("c", "x")], "code string, text string")
+    assert rows(lookups.first_matching_rule(texts, "code", "text", rules, "pattern", "priority", ["c"]), "code", "c") == [("a", 17), ("b", 5000)]
 
 
 def test_rules_match_by_kind_and_pick_first_category(spark):

@@ -7,6 +7,7 @@ import pytest
 from care_lake.operators.dedup import latest_by
 from care_lake.operators.lookups import map_code
 from care_lake.plans import admissions, gold, patient, reports
+from care_lake.plans.measures import measure
 from workload.standin import PERIOD, lake, read
 
 SF = "/root/testdata/sf0.001"
@@ -79,7 +80,7 @@ def test_measures_shrink_before_they_meet_a_dimension(spark, t):
     t["fact_encounter"], t["dim_provider"]
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(reports.paid_by_provider(t))
+        text = plan(measure(["encounter_payer_paid"], t, ["dim_provider.provider_name"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     scan = text.index("FileScan parquet [provider_id")
@@ -87,6 +88,11 @@ def test_measures_shrink_before_they_meet_a_dimension(spark, t):
     assert text[:scan].rindex("partial_sum") > text[:scan].rindex("Exchange")
 
 
+def test_filters_reach_the_fact_before_it_is_added_up(t):
+    text = plan(measure(["encounter_payer_paid"], t, filters={"dim_date.year": 1998}))
+    assert "LeftSemi" in text and text.index("partial_sum") < text.index("LeftSemi") < text.index("start_date_key", text.index("FileScan"))
+
+
 def test_tiers_do_not_sort_or_join_the_rows(t):
     from care_lake.operators.score import percentile_tier
 

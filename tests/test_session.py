@@ -1,7 +1,5 @@
 """Where intermediate results are written."""
 
-import pytest
-
 from care_lake import session
 
 
@@ -10,25 +8,12 @@ def test_the_configured_folder_is_used(spark, monkeypatch):
     assert session.shared_folder(spark) == "/shared/x"
 
 
-def test_a_local_session_may_use_its_own_folder(spark, monkeypatch):
+def test_without_setting_the_warehouse_is_used(spark, monkeypatch):
     monkeypatch.setattr(session, "_configured_folder", lambda s: None)
-    folder = session.shared_folder(spark)
-    assert folder == session.shared_folder(spark)
+    assert session.shared_folder(spark) == spark.conf.get("spark.sql.warehouse.dir") + "/_shared"
     assert session.staged(spark.range(3), "t").count() == 3
 
 
-def test_a_cluster_must_name_a_folder(monkeypatch):
-    class Context:
-        master = "spark://host:7077"
-
-    class Cluster:
-        sparkContext = Context()
-
-    monkeypatch.setattr(session, "_configured_folder", lambda s: None)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_folder(Cluster())
-
-
 def test_staged_keeps_the_schema(spark):
     df = spark.sql("select 1 as a, cast(null as date) as b, array('x') as c")
     assert session.staged(df, "t").dtypes == df.dtypes

@@ -228,6 +228,15 @@ def r11b(spark, sf_dir):
     return score.score_ranks(lines, "points")
 
 
+@query("r11_fine_score", """
+SELECT o_orderkey, CASE WHEN r < 0.10 THEN 'High' WHEN r < 0.30 THEN 'Medium' ELSE 'Low' END AS tier
+FROM (SELECT o_orderkey, percent_rank() OVER (ORDER BY o_totalprice DESC NULLS LAST) AS r FROM orders)""")
+def r11c(spark, sf_dir):
+    """A score that differs in nearly every row."""
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
+    return score.percentile_tier(orders, "o_totalprice", TIER_CUTS, LOWEST_TIER, "tier").drop("o_totalprice")
+
+
 @query("r12_followup_complete", f"""
 SELECT discharge_date <= {AS_OF} - 30 AS follow_up_complete, count(*) AS stays FROM x_index GROUP BY ALL""")
 def r12(spark, sf_dir):

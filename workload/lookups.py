@@ -30,24 +30,24 @@ LOOKUPS: dict[str, tuple[tuple[str, ...], list[tuple]]] = {
         ("snomed_code", "cpt_hcpcs", "code_system", "service_category", "revenue_code", "billable_yn",
          "map_quality"),
         [
-            ("p0", "96127", "CPT", "screening", "0510", "Y", "close"),
-            ("p1", "90935", "CPT", "dialysis", "0821", "Y", "exact"),
-            ("p2", "1111F", "CPT_II", "quality", "0510", "N", "close"),
-            ("p3", "G0136", "HCPCS", "screening", "0510", "Y", "close"),
+            ("p0", "B0001", "CPT", "gauging", "R1", "Y", "close"),
+            ("p1", "B0002", "CPT", "pumping", "R2", "Y", "exact"),
+            ("p2", "B0003", "CPT_II", "counting", "R1", "N", "close"),
+            ("p3", "B0004", "HCPCS", "gauging", "R1", "Y", "close"),
         ],
     ),
     "procedure_rules": (
         ("priority", "description_regex", "cpt_hcpcs", "code_system", "service_category", "revenue_code",
          "billable_yn"),
         [
-            ("20", "(?i)WIDGET|gear", "76499", "CPT", "radiology", "0320", "Y"),
+            ("20", "(?i)WIDGET|gear", "B0010", "CPT", "radiology", "R3", "Y"),
             ("3", "ring|bolt", NA, "NONE", "nonbillable", NA, "N"),
-            ("100", "^small", "84999", "CPT", "lab", "0300", "Y"),
+            ("100", "^small", "B0011", "CPT", "lab", "R4", "Y"),
         ],
     ),
     "vaccine_map": (
         ("cvx_code", "cpt_code", "short_name"),
-        [("v0", "90656", "Flu"), ("v1", "90714", "Td"), ("v2", "90707", "MMR"), ("p9", "90716", "Varicella")],
+        [("v0", "V0001", "First"), ("v1", "V0002", "Second"), ("v2", "V0003", "Third"), ("p9", "V0004", "Ninth")],
     ),
     "payer_profile": (
         ("payer_name", "payer_type"),
@@ -55,8 +55,8 @@ LOOKUPS: dict[str, tuple[tuple[str, ...], list[tuple]]] = {
     ),
     "lab_panels": (
         ("loinc_code", "panel_code", "panel_name", "panel_cpt", "component_short_name"),
-        [("view", "B", "BASIC PANEL", "80048", "VIEW RATE"), ("click", "B", "BASIC PANEL", "80048", "CLICK RATE"),
-         ("signup", "S", "SIGNUP PANEL", "80050", "SIGNUP RATE")],
+        [("view", "B", "BASIC PANEL", "L0001", "VIEW RATE"), ("click", "B", "BASIC PANEL", "L0001", "CLICK RATE"),
+         ("signup", "S", "SIGNUP PANEL", "L0002", "SIGNUP RATE")],
     ),
     "lab_ranges": (
         ("loinc_code", "reference_low", "reference_high", "critical_low", "critical_high", "units"),

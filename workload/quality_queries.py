@@ -130,7 +130,7 @@ SELECT user_id, event_type, count(DISTINCT CAST(ts AS DATE)) AS files FROM event
 HAVING count(DISTINCT CAST(ts AS DATE)) > 1""")
 def x08(spark, sf_dir):
     events = read(spark, sf_dir, "events").withColumn("file", F.col("ts").cast("date"))
-    return q.multi_file_ids(events, ["user_id", "event_type"], "file", limit=None)
+    return q.multi_file_ids(events, ["user_id", "event_type"], "file")
 
 
 def _ledger(spark, sf_dir):

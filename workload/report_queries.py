@@ -208,7 +208,6 @@ SELECT (SELECT nullif(count(*), 0) FROM x_worklist) AS worklist_patients,
 FROM x_fact_index_admission WHERE follow_up_complete""")(reports.care_cards)
 
 for _key, _table, _column, _source in (
-    ("year", "dim_date", "year", "x_dim_date"),
     ("payer", "kpi_monthly", "payer_category", "x_kpi_monthly"),
     ("condition", "kpi_monthly", "condition_group", "x_kpi_monthly"),
     ("patient", "dim_patient", "patient_name", "x_dim_patient"),
@@ -218,6 +217,49 @@ for _key, _table, _column, _source in (
         lambda t, table=_table, column=_column: reports.slicer(t, table, column)
     )
 
+report_query("v17_slicer_year", """
+SELECT DISTINCT year FROM x_dim_date WHERE date IN (SELECT CAST(start_ts AS DATE) FROM x_fact_encounter)""")(
+    lambda t: reports.slicer(t, "dim_date", "year", used_in="fact_encounter")
+)
+
+# The questions with their filter: one patient, and a worklist cut by tier or condition.
+ONE = "7"  # a customer with orders at every scale
+_WORKLIST = """
+SELECT worklist_rank, patient_name, age, facility_name, CAST(discharge_date AS VARCHAR) AS discharge_date,
+  days_since_discharge, reason_description, lace_score, risk_tier, top_risk_drivers, follow_up_status FROM x_worklist"""
+report_query("v11_one_patient", f"""
+SELECT patient_id, age, sex, current_payer_name, latest_risk_tier, latest_lace_score, visits_12_months,
+  inpatient_admissions_12_months, ed_visits_12_months, medical_cost_12_months, active_medication_count, is_high_utilizer,
+  chronic_conditions FROM x_patient_360 WHERE patient_id = '{ONE}'""")(lambda t: reports.patient_summary(t, ONE))
+report_query("v12_one_timeline", f"""
+SELECT patient_id, CAST(event_ts AS VARCHAR) AS event_ts, event_category, event_type, description, code, amount
+FROM x_timeline WHERE patient_id = '{ONE}'""")(lambda t: reports.patient_events(t, ONE))
+report_query("v12_one_diagnoses", f"""
+SELECT patient_id, CAST(start_date AS VARCHAR) AS start_date, description, icd10cm_code, is_active
+FROM x_fact_condition WHERE patient_id = '{ONE}'""")(lambda t: reports.patient_diagnoses(t, ONE))
+report_query("v12_one_labs", f"""
+SELECT patient_id, CAST(result_ts AS VARCHAR) AS result_ts, test_name, value_numeric, units, abnormal_flag
+FROM x_fact_lab_result WHERE patient_id = '{ONE}'""")(lambda t: reports.patient_labs(t, ONE))
+report_query("v12_one_medications", f"""
+SELECT patient_id, CAST(start_ts AS VARCHAR) AS start_ts, description, is_active FROM x_medication
+WHERE patient_id = '{ONE}'""")(lambda t: reports.patient_medications(t, ONE))
+report_query("v13_worklist_of_a_tier", f"{_WORKLIST} WHERE risk_tier = 'Medium'")(lambda t: reports.worklist(t, tier="Medium"))
+report_query("v13_worklist_of_a_condition", f"{_WORKLIST} WHERE condition_group = 'HF'")(lambda t: reports.worklist(t, condition="HF"))
+
+# A blank group in a ratio, and two fields of one name.
+report_query("m_cost_by_specialty_and_class", f"""
+SELECT p.specialty, e.encounter_class, {ratio('sum(e.payer_paid)', 'count(DISTINCT e.patient_id)')} AS cost_per_patient
+FROM x_fact_encounter e LEFT JOIN x_provider p ON p.provider_id = e.provider_id GROUP BY ALL
+HAVING sum(e.payer_paid) IS NOT NULL""")(
+    lambda t: measure(["cost_per_patient"], t, ["dim_provider.specialty", "fact_encounter.encounter_class"])
+)
+report_query("m_patients_seen_by_two_states", """
+SELECT p.state AS dim_patient_state, f.state AS dim_facility_state, count(DISTINCT e.patient_id) AS patients_seen
+FROM x_fact_encounter e LEFT JOIN x_dim_patient p ON p.patient_id = e.patient_id
+LEFT JOIN x_dim_facility f ON f.facility_id = e.facility_id GROUP BY ALL""")(
+    lambda t: measure(["patients_seen"], t, ["dim_patient.state", "dim_facility.state"])
+)
+
 report_query("v17_sliced_report", """
 SELECT f.facility_name, CAST(sum(admissions) AS BIGINT) AS admissions FROM x_kpi_monthly k
 LEFT JOIN x_dim_facility f ON f.facility_id = k.facility_id

@@ -29,15 +29,6 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that lies in fewer files than there are cores; larger tables stay as they are.
-
-    Each driver file is one row group, so its rows would all be read and made into text by a single task.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _loads(df: DataFrame, again: str) -> DataFrame:
     """Add load 1 of every row, and load 2 of the rows that were sent again."""
     return df.selectExpr("*", f"explode(case when {again} then array(1, 2) else array(1) end) as load")
@@ -471,7 +462,6 @@ SOURCES: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 }
 
 
-LARGE = ("customer", "orders", "lineitem", "events")
 
 
 class RawTables(Mapping[str, DataFrame]):
@@ -491,8 +481,7 @@ class RawTables(Mapping[str, DataFrame]):
         return self._made[name]
 
     def _input(self, name: str) -> DataFrame:
-        df = read(self._spark, self._sf_dir, name)
-        return spread(df) if name in LARGE else df
+        return read(self._spark, self._sf_dir, name)
 
     def __iter__(self):
         yield from SOURCES

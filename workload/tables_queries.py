@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 import workload.oracle_tables  # noqa: F401  registers the named subqueries
 from workload.registry import query
 from workload.standin import lake
@@ -47,7 +49,18 @@ table_query(
     "unit_amount charge_amount payment_amount adjustment_amount transfer_amount outstanding_amount",
 )
 
-table_query("d01_date_dim", "dim_date", "x_dim_date", "date month_start")
+
+
+@query("d01_date_dim", typed("""(
+SELECT d.*, v.visits FROM x_dim_date d
+LEFT JOIN (SELECT CAST(start_ts AS DATE) AS day, count(*) AS visits FROM x_fact_encounter GROUP BY ALL) v ON v.day = d.date)""", "date month_start"))
+def d01(spark, sf_dir):
+    """The calendar beside the visits of each day."""
+    t = lake(spark, sf_dir)
+    visits = t["fact_encounter"].groupBy(F.col("start_date_key").alias("date_key")).agg(F.count("*").alias("visits"))
+    return t["dim_date"].join(visits, "date_key", "left")
+
+
 table_query("d02_dim_patient", "dim_patient", "x_dim_patient", "birth_date death_date")
 query("d05_dim_provider", """
 SELECT provider_id, source_system, provider_name, sex, specialty, organization_id AS facility_id, npi, city, state
