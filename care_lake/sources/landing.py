@@ -36,9 +36,9 @@ def resource_lineage(source_system: str) -> dict[str, Column]:
     }
 
 
-def csv_columns(spark: SparkSession, path: str) -> list[str]:
+def csv_columns(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
     """Column names of the header; only the first line of a file is read."""
-    return spark.read.option("recursiveFileLookup", True).option("header", True).csv(path).columns
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob).option("header", True).csv(path).columns
 
 
 def in_scope(resources: DataFrame, skip: Sequence[str] = UNLANDED_RESOURCES) -> DataFrame:

@@ -50,14 +50,38 @@ def test_lines_that_do_not_fit_are_kept(spark, tmp_path):
     assert got == {"1": None, "2": "2,b,c", "3": "3", "4": None}
 
 
-def test_another_header_stops_the_load(spark, tmp_path):
+def test_other_headers_lose_nothing(spark, tmp_path):
     put(tmp_path / "in/a.csv", "Id,NAME\n1,a\n")
+    put(tmp_path / "in/0notes.txt", "a note, not a table\n")
     load_csv(spark, tmp_path)
-    put(tmp_path / "in/b.csv", "NAME,Id\nb,2\n")
-    with pytest.raises(StreamingQueryException):
+    put(tmp_path / "in/0.csv", '"NAME",Id,EXTRA\nb,2,x\nc,3,\n')
+    put(tmp_path / "in/b.csv", "Id\n4\n")
+    put(tmp_path / "in/c.csv", "Id,NAME\n5,e\n6,f,g\n")
+    got = load_csv(spark, tmp_path)
+    assert got.columns[:3] == ["Id", "NAME", "_rescued_data"]
+    assert sorted(map(tuple, got.select("Id", "NAME", "_rescued_data").collect())) == [
+        ("1", "a", None), ("2", "b", '{"EXTRA":"x"}'), ("3", "c", None), ("4", None, None), ("5", "e", None), ("6", "f", "6,f,g"),
+    ]
+
+
+def test_a_file_without_header_stops_the_load(spark, tmp_path):
+    put(tmp_path / "in/a.csv", "Id,NAME\n1,a\n")
+    load_csv(spark, tmp_path)
+    put(tmp_path / "in/b.csv", "2,b\n3,c\n")
+    with pytest.raises(StreamingQueryException, match="no header"):
         load_csv(spark, tmp_path)
 
 
+def test_all_flows_end_before_a_failure_is_raised(spark, tmp_path):
+    put(tmp_path / "bad/a.csv", "x\n")
+    put(tmp_path / "in/a.csv", "Id,NAME\n1,a\n")
+    bad = ingest.ingest_csv_text(spark, str(tmp_path / "bad"), str(tmp_path / "c1"), str(tmp_path / "o1"), ["Id", "NAME"])
+    good = ingest.ingest_csv_text(spark, str(tmp_path / "in"), str(tmp_path / "c2"), str(tmp_path / "o2"))
+    with pytest.raises(StreamingQueryException):
+        ingest.finish([bad, good])
+    assert not good.isActive and ingest.read_ingested(spark, str(tmp_path / "o2")).count() == 1
+
+
 def test_a_repeated_batch_replaces_its_output(spark, tmp_path):
     put(tmp_path / "in/a.csv", "Id\n1\n2\n")
     load_csv(spark, tmp_path)

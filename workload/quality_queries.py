@@ -281,13 +281,30 @@ def s05(spark, sf_dir):
         F.concat(F.col("event_id").cast("string"), F.lit(","), "event_type", extra).alias("value")
     )
     lines.write.option("compression", "none").text(f"{folder}/events")
-    stream = ingest.read_csv_stream(spark, f"{folder}/events", ["event_id", "event_type"], glob="*.txt", header=False)
-    ingest.finish([ingest.start_flow(stream, f"{folder}/ckpt", f"{folder}/out")])
+    ingest.finish([ingest.ingest_csv_text(
+        spark, f"{folder}/events", f"{folder}/ckpt", f"{folder}/out", ["event_id", "event_type"], glob="*.txt", header=False)])
     return ingest.read_ingested(spark, f"{folder}/out").agg(
         F.count("*").alias("rows"), F.count("_rescued_data").alias("rescued")
     )
 
 
+@query("s05_added_and_missing_columns", """
+SELECT count(*) AS rows, count(*) FILTER (WHERE o_custkey % 3 = 1) AS rescued,
+  count(*) FILTER (WHERE o_custkey % 3 <> 2) AS prices FROM orders""")
+def s05b(spark, sf_dir):
+    """A first load, a later one with one more column and another order, and one without a column."""
+    folder = _folder(spark)
+    orders = read(spark, sf_dir, "orders").withColumn("load", F.col("o_custkey") % 3)
+    for load, columns in ((0, ["o_orderkey", "o_totalprice"]), (1, ["o_orderstatus", "o_totalprice", "o_orderkey"]), (2, ["o_orderkey"])):
+        rows = orders.filter(F.col("load") == load).select(*columns)
+        rows.write.option("header", True).csv(f"{folder}/orders/run_id={load}")
+        ingest.finish([ingest.ingest_csv_text(spark, f"{folder}/orders", f"{folder}/ckpt", f"{folder}/out")])
+    return ingest.read_ingested(spark, f"{folder}/out").agg(
+        F.count("o_orderkey").alias("rows"), F.count(F.get_json_object("_rescued_data", "$.o_orderstatus")).alias("rescued"),
+        F.count("o_totalprice").alias("prices"),
+    )
+
+
 @query("s06_lineage", """
 SELECT 'r1' AS _run_id, count(*) AS rows, true AS has_file, true AS has_times FROM customer""")
 def s06(spark, sf_dir):
