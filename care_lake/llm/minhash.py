@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_digest
 
 from care_lake.llm.common import boxed, process_cache, row_key, slices, unboxed, with_vocabulary
 from care_lake.llm.components import components
@@ -41,15 +42,15 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _word_hashes(words: list[str]) -> list[int]:
-    return [int.from_bytes(blake2b(w.encode(), digest_size=8).digest(), "little") for w in words]
+def _word_hashes(words: list[str]) -> list[bytes]:
+    return [xxh64_digest(w.encode()) for w in words]
 
 
 def shingles(words: list[str], of, width: int) -> np.ndarray:
     """64-bit hashes of all runs of ``width`` words, or of the whole text if it is shorter."""
     if not words:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(of, words), np.uint64, len(words))
+    h = np.frombuffer(b"".join(map(of, words)), "<u8")
     width = min(width, len(h))
     out = np.zeros(len(h) - width + 1, np.uint64)
     for i in range(width):
@@ -72,12 +73,9 @@ def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: in
         state[live] = s = _mix(state[live] + GOLDEN)
         arrival[live] += -np.log(((s >> np.uint64(11)).astype(np.float64) + 0.5) / (1 << 53)) / weight[live]
         slot = owner[live] * m + (_mix(s ^ np.uint64(0xD6E8FEB86659FD93)) % np.uint64(m)).astype(np.int64)
-        order = np.lexsort((-arrival[live], slot))
-        last = np.append(slot[order][1:] != slot[order][:-1], True)  # the earliest arrival of each component
-        slot, best = slot[order][last], live[order][last]
-        better = arrival[best] < time[slot]
-        slot, best = slot[better], best[better]
-        time[slot], value[slot] = arrival[best], element[best]
+        np.minimum.at(time, slot, arrival[live])
+        first = arrival[live] == time[slot]
+        value[slot[first]] = element[live[first]]
         owners = np.unique(owner[live])
         latest = np.zeros(n)
         latest[owners] = time.reshape(n, m)[owners].max(1)
