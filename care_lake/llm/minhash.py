@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = base.select("doc_id", "key", F.coalesce("content", "key").alias("node"))
     nodes = nodes.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     least = nodes.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.count("*").alias("class_size"))
-    both = nodes.join(least, "class")
+    both = nodes.join(staged(least, "classes"), "class")  # written, so that a large class can be split in this join
     return both.select("doc_id", "key", F.col("first.doc_id").alias("class_id"), "class_size", (F.col("key") == F.col("first.key")).alias("kept"))
 
 
