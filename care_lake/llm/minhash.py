@@ -13,8 +13,9 @@
 Words are what white space separates, in lower case. A shingle's weight is 1 + ln(count), so a line repeated many
 times does not drown the rest. Texts of one to four words are one shingle.
 
-Defined cases: null, empty and blank texts have no shingle and link with nothing, each is its own class; repeated
-rows are copies of each other; a class's id is its smallest non-null doc_id; an empty table gives an empty result.
+Defined cases: null, empty and blank texts have no shingle; they are copies of each other and link with no other
+text; repeated rows are copies of each other; a class's id is its smallest non-null doc_id; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -101,7 +102,7 @@ def _digest(words: list[str]) -> bytes:
 
 
 def _sketched(width: int, bands: int, rows: int):
-    """Content key, band hashes and a byte per signature component; null without words."""
+    """Content key, band hashes and a byte per signature component."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = bands * rows
@@ -116,7 +117,7 @@ def _sketched(width: int, bands: int, rows: int):
                 band = _mix(band ^ signature.reshape(n, bands, rows)[:, :, i]) + GOLDEN
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64).ravel()))
             sketch = _mix(signature).astype(np.uint8)
-            contents = pa.array([_digest(w) if w else None for w in texts], pa.binary())
+            contents = pa.array(map(_digest, texts), pa.binary())
             sketches = pa.array([x.tobytes() for x in sketch], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), contents, lists, sketches],
                                              names=["doc_id", "key", "content", "bands", "sketch"])
@@ -217,7 +218,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
     base = staged(source.mapInArrow(_sketched(width, bands, rows), "doc_id long, key binary, content binary, bands array<long>, sketch binary"), "sketches")
-    texts = staged(base.where("content is not null").groupBy("content").agg(F.min("key").alias("key"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch")), "distinct")
+    texts = staged(base.groupBy("content").agg(F.min("key").alias("key"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch")), "distinct")
     banded = texts.select("content", F.posexplode("bands").alias("band", "value"))
     hubs = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("content").alias("hub")).where("n > 1").drop("n")
     members = staged(banded.join(hubs, ["band", "value"]), "bucket-members")
@@ -231,7 +232,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     more = staged(blocks.groupBy("band", "value", "low", "high").applyInArrow(_between_blocks(threshold, 0.5), "u binary, v binary"), "links-between")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    nodes = base.select("doc_id", "key", F.coalesce("content", "key").alias("node"))
+    nodes = base.select("doc_id", "key", F.col("content").alias("node"))
     nodes = nodes.join(labels, "node", "left").withColumn("class", F.coalesce("label", "node"))
     least = nodes.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.count("*").alias("class_size"))
     both = nodes.join(staged(least, "classes"), "class")  # written, so that a large class can be split in this join
