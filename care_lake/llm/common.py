@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "_row"
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,10 +76,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
 def with_vocabulary(cache: dict, words: set, fill: Callable[[list], list], most: int = 400_000) -> dict:
     """Make sure that ``cache`` has every word; once it is full, only the words asked for now stay."""
     if len(cache) > most:
-        held = {w: cache[w] for w in words & cache.keys()}
+        held = {w: cache[w] for w in words if w in cache}
         cache.clear()
         cache.update(held)
-    if missing := list(words - cache.keys()):
+    if missing := [w for w in words if w not in cache]:
         cache.update(zip(missing, fill(missing), strict=True))
     return cache
 
