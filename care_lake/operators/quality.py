@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 
@@ -35,6 +35,19 @@ def expect(df: DataFrame, checks: Mapping[str, str | Column], table: str) -> Dat
     return counted.select(F.lit(table).alias("table_name"), F.inline(results))
 
 
+def watch(df: DataFrame, checks: Mapping[str, str | Column]) -> tuple[DataFrame, Observation]:
+    """The same rows, whose next action also counts the outcome of every check."""
+    seen = Observation()
+    fails = [F.count_if(failed(c)).alias(f"failed_{i}") for i, c in enumerate(checks.values())]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *fails), seen
+
+
+def watched(seen: Observation, checks: Mapping[str, str | Column], table: str) -> list[tuple[str, str, int, int]]:
+    """Table, expectation, passed and failed rows, once the action is over."""
+    got = seen.get
+    return [(table, name, got.get("rows", 0) - got.get(f"failed_{i}", 0), got.get(f"failed_{i}", 0)) for i, name in enumerate(checks)]
+
+
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 

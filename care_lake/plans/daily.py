@@ -5,10 +5,12 @@ from __future__ import annotations
 import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from care_lake import fixed
+from care_lake.operators.quality import GateError, watch, watched
 from care_lake.plans import checks
 from care_lake.plans.tables import GOLD, SILVER, Lake
 from care_lake.settings import Period
@@ -30,14 +32,20 @@ CLUSTER_BY = {
 
 
 def load_bronze(spark: SparkSession, landing: str, lake: str, csv_tables=fixed.CSV_TABLES) -> None:
-    """Load what is new in the landing folders. All flows run side by side."""
-    finish([
-        ingest_csv_text(
-            spark, f"{landing}/{fixed.CSV_ROOT}/{name}", f"{lake}/_checkpoints/{name}",
-            table_path(lake, "bronze", name),
-        )
-        for name in csv_tables
-    ])
+    """Load what is new in the landing folders. All flows run side by side; tables that did not land are named."""
+    flows, missing = [], []
+    for name in csv_tables:
+        try:
+            flows.append(ingest_csv_text(
+                spark, f"{landing}/{fixed.CSV_ROOT}/{name}", f"{lake}/_checkpoints/{name}", table_path(lake, "bronze", name),
+            ))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            missing.append(name)
+    finish(flows)
+    if missing:
+        raise GateError(f"tables that did not land: {', '.join(missing)}")
     append_flows(
         spark, {s: f"{landing}/{folder}" for s, folder in fixed.FHIR_SOURCES.items()},
         f"{lake}/_checkpoints/fhir_resources", table_path(lake, "bronze", "fhir_resources"),
@@ -50,36 +58,57 @@ def bronze_tables(spark: SparkSession, landing: str, lake: str) -> dict[str, Dat
     return {**raw, **read_lookups(spark, landing)}
 
 
-def build_tables(tables: Lake, spark: SparkSession, lake: str) -> Lake:
-    """Write every silver and gold table; each one is read back, so later tables start from files."""
-    built = {name: tables[name] for name in tables}
+def build_tables(tables: Lake, spark: SparkSession, root: str) -> tuple[Lake, list[tuple[str, str, int, int]]]:
+    """Write every silver and gold table; each one is read back, so later tables start from files.
+
+    The expectations of a table are counted by the job that writes it.
+    """
+    built, counts = {name: tables[name] for name in tables}, []
     for layer, names in (("silver", SILVER), ("gold", GOLD)):
         for name in names:
             current = Lake(built, tables.period)
             cluster_by = CLUSTER_BY.get(name, [])
             find_by = [c for c in cluster_by if c == "patient_id"]
-            built[name] = write_table(current[name], lake, layer, name, cluster_by, find_by=find_by)
-    return Lake(built, tables.period)
+            expected = checks.LAYERS[layer].get(name, {})
+            rows, seen = watch(current[name], expected) if expected else (current[name], None)
+            built[name] = write_table(rows, root, layer, name, cluster_by, find_by=find_by)
+            if seen:
+                counts += watched(seen, expected, f"{layer}.{name}")
+    return Lake(built, tables.period), counts
 
 
-def record_expectations(t: Lake, lake: str, run_id: str) -> DataFrame:
-    """Append the expectation counts of this run to the ledger."""
+def record_expectations(t: Lake, counts: list[tuple[str, str, int, int]], lake: str, run_id: str) -> DataFrame:
+    """Append the expectation counts of this run to the ledger; the landed tables are counted here."""
     spark = t["dim_patient"].sparkSession
     started = datetime.now(timezone.utc).replace(tzinfo=None)
-    rows = checks.expectation_results(t).withColumns({
+    built = spark.createDataFrame(counts, "table_name string, expectation string, passed_rows long, failed_rows long")
+    rows = checks.expectation_results(t, ("bronze",)).unionByName(built).withColumns({
         "run_id": F.lit(run_id), "run_started_at": F.lit(started),
     })
     rows.coalesce(1).write.mode("append").parquet(table_path(lake, "quality", "expectations"))
     return read_table(spark, lake, "quality", "expectations")
 
 
+def published(spark: SparkSession, lake: str) -> str:
+    """Folder of the newest run that passed all checks; readers start here."""
+    runs = spark.read.parquet(table_path(lake, "quality", "published"))
+    return f"{lake}/runs/{runs.agg(F.max_by('run_id', 'published_at')).first()[0]}"
+
+
 def run(spark: SparkSession, landing: str, lake: str, period: Period, allowed=fixed.KNOWN_FAILURES) -> Lake:
-    """One daily run. Raises ``GateError`` when a check finds something that must be looked at."""
+    """One daily run, in a folder of its own that is published after the checks.
+
+    Raises ``GateError`` when a check finds something that must be looked at; readers then keep the run before.
+    """
     load_bronze(spark, landing, lake)
-    tables = build_tables(Lake(bronze_tables(spark, landing, lake), period), spark, lake)
-    ledger = record_expectations(tables, lake, uuid.uuid4().hex)
+    run_id = uuid.uuid4().hex
+    tables, counts = build_tables(Lake(bronze_tables(spark, landing, lake), period), spark, f"{lake}/runs/{run_id}")
+    ledger = record_expectations(tables, counts, lake, run_id)
     checks.gate_nonempty(tables)
     checks.gate_conserved(tables)
     checks.gate_expectations(checks.data_quality_results(ledger), allowed)
     checks.gate_measure(tables)
+    now = datetime.now(timezone.utc).replace(tzinfo=None)
+    row = spark.createDataFrame([(run_id, now)], "run_id string, published_at timestamp_ntz")
+    row.coalesce(1).write.mode("append").parquet(table_path(lake, "quality", "published"))
     return tables

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from care_lake.functions.fhir import json_envelope
-from care_lake.sources.landing import RESCUED, csv_columns, csv_lineage, resource_lineage
+from care_lake.sources.landing import RESCUED, csv_columns, csv_lineage, in_scope, resource_lineage
 
 LINE = T.StructType([T.StructField("value", T.StringType())])
 BATCH = "batch"
@@ -74,7 +74,7 @@ def read_ndjson_stream(
 
 def ingest_ndjson(spark: SparkSession, path: str, system: str, checkpoint: str, out: str) -> StreamingQuery:
     return start_flow(
-        read_ndjson_stream(spark, path, system).drop("source_system"),
+        in_scope(read_ndjson_stream(spark, path, system).drop("source_system")),
         checkpoint,
         f"{out}/source_system={system}",
         partition_by=["resource_type"],

@@ -143,6 +143,12 @@ FAULTS = [
 ]
 
 
+def test_tables_that_did_not_land_are_named(spark, tmp_path):
+    put(tmp_path / fixed.CSV_ROOT / "patients/a.csv", "Id\n1\n")
+    with pytest.raises(GateError, match="did not land: encounters"):
+        daily.load_bronze(spark, str(tmp_path), str(tmp_path / "lake"), csv_tables=("patients", "encounters"))
+
+
 def test_daily_run_over_two_loads(spark, tmp_path):
     landing, out = tmp_path / "landing", str(tmp_path / "lake")
     land(spark, landing, "run1")
@@ -160,7 +166,10 @@ def test_daily_run_over_two_loads(spark, tmp_path):
     for name in ("patient", "encounter", "claim", "fact_encounter", "fact_index_admission", "kpi_monthly"):
         cols = [c for c in tables[name].columns if c not in ("run_id", "bronze_ingested_at")]
         assert tables[name].select(cols).exceptAll(expected[name].select(cols)).count() == 0, name
+    assert spark.read.parquet(f"{daily.published(spark, out)}/gold/patient_360").count() == tables["patient_360"].count()
     results = spark.read.parquet(f"{out}/quality/expectations")
+    recounted = {(r.table_name, r.expectation): (r.passed_rows, r.failed_rows) for r in checks.expectation_results(tables).collect()}
+    assert {(r.table_name, r.expectation): (r.passed_rows, r.failed_rows) for r in results.collect()} == recounted
     assert results.count() == 54
     with pytest.raises(GateError, match="known_sex"):
         checks.gate_expectations(checks.data_quality_results(results))
