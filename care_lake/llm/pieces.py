@@ -18,6 +18,7 @@ from heapq import heapify, heappop, heappush
 from pathlib import Path
 from struct import pack
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -51,6 +52,7 @@ class Vocabulary:
         order = {score: rank for rank, score in enumerate(sorted(set(scores.values()), reverse=True))}
         self.ranks = {name: order[score] for name, score in scores.items()}
         self.end = lib.eos_id()
+        self.raw = [bytes([self.bytes_of[i]]) if i in self.bytes_of else n.replace(BLANK, " ").encode() for i, n in enumerate(self.names)]
         self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in self.ids)
 
     def merge(self, text: str) -> list[int]:
@@ -93,47 +95,35 @@ class Vocabulary:
         text = text.replace(BLANK, " ")
         if not self.cuts:
             return [BLANK + text.replace(" ", BLANK)]
+        if "  " not in text and text[0] != " ":  # blanks stand alone: the same cuts, faster
+            return (BLANK + text.replace(" ", f" {BLANK}").replace("\n", " \n ")).split(" ")
         out = []
         for i, line in enumerate(text.split("\n")):
-            if i:
-                out.append("\n")
-            words = line.split(" ") if i else ["", *line.split(" ")]
-            if "" not in words[1:]:
-                out += [words[0]] * bool(words[0])
-                out += [BLANK + w for w in words[1:]]
-            else:
-                whole = line if i else " " + line
-                out += [w.replace(" ", BLANK) for w in CUT.findall(whole)]
+            out += ["\n"] * bool(i)
+            out += [w.replace(" ", BLANK) for w in CUT.findall(line if i else " " + line)]
         return out
 
     def encode_new(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct parts as bytes, each checked against the library."""
         own = [self.merge(p) for p in parts]
         # The library puts a blank before every text. Behind a line feed the parts without one can be compared.
-        library = self.library.encode([p[1:] if p[0] == BLANK else "\n" + p for p in parts], num_threads=1)
+        library = self.library.encode([p[1:] if p[:1] == BLANK else "\n" + p for p in parts], num_threads=1)
         lead = len(self.library.encode("\n"))
         for part, ids, check in zip(parts, own, library, strict=True):
-            if ids != (check if part[0] == BLANK and len(part) > 1 else check[lead:] if part[0] != BLANK else ids):
+            if ids != (check if part[:1] == BLANK and len(part) > 1 else check[lead:] if part[:1] != BLANK else ids):
                 raise ValueError(f"the library encodes {part!r} as {check}, the agenda as {ids}")
         return [pack(f"<{len(ids)}i", *ids) for ids in own]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids, as the library's decode gives it."""
-        out, raw, first = [], bytearray(), True
-        for i in ids:
-            if i in self.bytes_of:
-                raw.append(self.bytes_of[i])
-                first = False
-                continue
-            if raw:
-                out.append(raw.decode(errors="replace"))
-                raw.clear()
-            piece = self.names[i]
-            if first and piece:
-                piece, first = piece[1:] if piece[0] == BLANK else piece, False
-            out.append(piece)
-        out.append(raw.decode(errors="replace"))
-        return "".join(out).replace(BLANK, " ")
+        raw = b"".join(map(self.raw.__getitem__, ids))
+        first = next((i for i in ids if self.raw[i]), None)
+        if first is not None and first not in self.bytes_of and self.names[first][0] == BLANK:
+            raw = raw[1:]
+        try:
+            return raw.decode()
+        except UnicodeDecodeError:  # byte pieces that do not make up characters; the library replaces each byte
+            return self.library.decode(ids)
 
 
 def _vocabulary(model: bytes) -> Vocabulary:
@@ -163,7 +153,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
         end, cache = vocabulary.end.to_bytes(4, "little"), process_cache("pieces", model)["parts"]
         for batch in slices(batches, text_col):
             texts = [vocabulary.parts(t or "") for t in batch.column(text_col).to_pylist()]
-            ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 600_000).__getitem__
+            ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 500_000).__getitem__
             yield _appended(batch, ids_col, int_lists([b"".join(map(ids_of, parts)) + end for parts in texts]))
 
     return docs.mapInArrow(run, with_schema(docs, ids_col, T.ArrayType(T.IntegerType())))
@@ -177,7 +167,10 @@ def decode(docs: DataFrame, model: bytes, ids_col: str = "ids", text_col: str =
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 piece = batch.slice(start, 200)
-                texts = [vocabulary.decode(ids or []) for ids in piece.column(ids_col).to_pylist()]
+                column = piece.column(ids_col)
+                values = column.flatten().to_pylist() if column.flatten().null_count else column.flatten().to_numpy().tolist()
+                ends = np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy()).tolist()
+                texts = [vocabulary.decode([i for i in values[a:b] if i is not None]) for a, b in zip([0, *ends], ends)]
                 yield _appended(piece, text_col, pa.array(texts, pa.string()))
 
     return docs.mapInArrow(run, with_schema(docs, text_col, T.StringType()))
