@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from care_lake.llm.common import numbered
 from care_lake.llm.components import components
-from care_lake.llm.vectors import by_length, matrix, sampled, unit, usable
+from care_lake.llm.vectors import by_length, few_rows, matrix, sampled, unit, usable
 from care_lake.session import staged
 
 #: Room for rounding when cells are chosen.
@@ -47,8 +47,10 @@ def spherical_k_means(x: np.ndarray, k: int, rounds: int = 8, seed: int = 5) ->
 def _cells(centroids: dict[int, np.ndarray], chord: float):
     """A row for the cell of each vector and for the lower cells it may link into."""
 
+    apart_of = {d: np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0)) for d, c in centroids.items()}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             for d, at in by_length(batch.column("vector")):
                 rows = batch.take(pa.array(at))
                 x, c = unit(matrix(rows.column("vector"))), centroids.get(d)
@@ -58,9 +60,8 @@ def _cells(centroids: dict[int, np.ndarray], chord: float):
                 else:
                     score = x @ c.T
                     cell = score.argmax(1)
-                    apart = np.linalg.norm(c[:, None] - c[None], axis=2)
                     margin = score[np.arange(len(x)), cell][:, None] - score
-                    own = (margin <= chord * apart[cell] + SLACK) & (np.arange(len(c)) < cell[:, None])
+                    own = (margin <= chord * apart_of[d][cell] + SLACK) & (np.arange(len(c)) < cell[:, None])
                 own[np.arange(len(x)), cell] = True
                 row, where = np.nonzero(own)
                 out = rows.take(pa.array(row))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from care_lake.llm.vectors import by_length, matrix, sampled, usable
+from care_lake.llm.vectors import by_length, few_rows, matrix, sampled, usable
 from care_lake.session import staged
 
 
@@ -94,7 +94,7 @@ class Graph:
 
 def _postings(centroids: dict[int, np.ndarray], spread: float, copies: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few_rows(batches):
             for d, at in by_length(batch.column("vector")):
                 rows, c = batch.take(pa.array(at)), centroids.get(d, np.zeros((1, d)))
                 away = _distances(matrix(rows.column("vector")), c)

@@ -47,7 +47,7 @@ KINDS = ("assign", "access", "hex", "random")
 BINS = 20
 
 
-def located(text: Column, pattern: str, found: Column, parts: Column) -> Column:
+def located(found: Column, parts: Column) -> Column:
     """``start`` and ``end`` in code points of every match, from the matches and the text between them."""
     gaps, sizes = F.transform(parts, F.length), F.transform(found, F.length)
 
@@ -64,7 +64,7 @@ def located(text: Column, pattern: str, found: Column, parts: Column) -> Column:
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
     df = df.withColumn("found", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
     df = df.withColumn("parts", F.when(F.size("found") > 0, F.split("text", pattern, -1)))
-    spans = F.when(F.size("found") > 0, located(F.col("text"), pattern, F.col("found"), F.col("parts")))
+    spans = F.when(F.size("found") > 0, located(F.col("found"), F.col("parts")))
     empty = F.expr("cast(array() as array<struct<start: int, end: int, value: string>>)")
     return df.withColumn(name, F.coalesce(spans, empty)).drop("found", "parts")
 

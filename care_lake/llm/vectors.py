@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,13 @@ def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(n, -1) if n else np.empty((0, 0))
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], most: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, where a row is compared with many centroids."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            yield batch.slice(start, most)
+
+
 def by_length(column: pa.Array) -> list[tuple[int, np.ndarray]]:
     """Positions of the rows of each vector length."""
     sizes = pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
