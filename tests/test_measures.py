@@ -77,3 +77,19 @@ def test_all_measures_and_relationships_are_there():
     helpers = {"high_utilizer_paid", "scored_readmissions"}
     assert len(set(MEASURES) - helpers) == 28
     assert sum(map(len, RELATIONSHIPS.values())) == 31
+
+
+def test_a_blank_group_keeps_its_ratio(spark, t):
+    visits = spark.sql("select * from values (19990101,'f1','Medicare',5L,0L,0L,0L,cast(0 as decimal(14,2)))"
+                       " as t(month_date_key, facility_id, payer_category, ed_visits, admissions, index_admissions, readmissions, payer_paid)")
+    active = spark.sql("select * from values (19990101, 10L) as t(month_date_key, active_patients)")
+    more = {**t, "kpi_monthly": t["kpi_monthly"].union(visits), "kpi_active_patients_monthly": t["kpi_active_patients_monthly"].union(active)}
+    got = rows(measure(["ed_visits_per_1000"], more, ["dim_date.year", "kpi_monthly.payer_category"]))
+    assert (None, "Medicare", 5 * 12000 / 10) in got
+
+
+def test_fields_of_one_name_keep_their_table(spark, t):
+    facilities = spark.sql("select * from values ('f1','One','Mixed') as t(facility_id, facility_name, sex)")
+    got = measure(["patients_seen"], {**t, "dim_facility": facilities}, ["dim_patient.sex", "dim_facility.sex"])
+    assert got.columns == ["dim_patient_sex", "dim_facility_sex", "patients_seen"]
+    assert rows(got) == [("Female", "Mixed", 1), ("Male", "Mixed", 1)]
