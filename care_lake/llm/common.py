@@ -51,12 +51,13 @@ def numbered(df: DataFrame, *keys: str) -> DataFrame:
 def process_cache(name: str, version: object = None) -> dict:
     """A dict that lives as long as the Python worker, so that later tasks find what earlier ones made.
 
-    Another ``version`` empties it.
+    A worker holds one such dict at a time: another name or ``version`` takes the place of the last.
     """
     held = vars(sys).setdefault("_care_lake_llm", {})
-    if name not in held or held[name][0] != version:
-        held[name] = (version, {})
-    return held[name][1]
+    if held.get("name") != (name, version):
+        held.clear()
+        held.update(name=(name, version), entries={})
+    return held["entries"]
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -73,7 +74,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(start)
 
 
-def with_vocabulary(cache: dict, words: set, fill: Callable[[list], list], most: int = 400_000) -> dict:
+def with_vocabulary(cache: dict, words: set, fill: Callable[[list], list], most: int = 250_000) -> dict:
     """Make sure that ``cache`` has every word; once it is full, only the words asked for now stay."""
     if len(cache) > most:
         held = {w: cache[w] for w in words if w in cache}

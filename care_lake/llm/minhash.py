@@ -94,7 +94,7 @@ def _words(text: str | None) -> list[str]:
 
 
 def _hash_of(texts: list[list[str]]):
-    return with_vocabulary(process_cache("words"), set().union(*texts), _word_hashes, 1_000_000).__getitem__
+    return with_vocabulary(process_cache("words"), set().union(*texts), _word_hashes).__getitem__
 
 
 def _digest(words: list[str]) -> bytes:

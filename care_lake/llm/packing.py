@@ -147,7 +147,7 @@ class WordTokens:
         # Lower-casing ASCII first changes nothing, but for the names of special tokens.
         raw = [t.encode() for t in texts]
         words = [(r if b"<|" in r else r.lower()).replace(b"\n", b" ").split(b" ") for r in raw]
-        of = with_vocabulary(self.stretches, set().union(*words), self._new, MOST_WORDS).__getitem__
+        of = with_vocabulary(self.stretches, set().union(*words), self._new).__getitem__
         return [b"".join(map(of, w)) for w in words]
 
 

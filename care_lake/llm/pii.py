@@ -159,7 +159,7 @@ def _counted(bitmap: bytes):
         counts: Counter = Counter()
         for batch in slices(batches, "text"):
             words = [set(WORD.findall((t or "").lower())) for t in batch.column("text").to_pylist()]
-            of = with_vocabulary(cache, set().union(*words), maybe, 600_000)
+            of = with_vocabulary(cache, set().union(*words), maybe)
             for own in words:
                 counts.update([w for w in own if of[w]])
             if len(counts) > 100_000:

@@ -170,7 +170,7 @@ def _score(model: Model):
         out = []
         for start in range(0, len(texts), 500):
             words = [set(WORD.findall((t or "").lower())) for t in texts.slice(start, 500).to_pylist()]
-            of = with_vocabulary(cache, set().union(*words), hits, 600_000).__getitem__
+            of = with_vocabulary(cache, set().union(*words), hits).__getitem__
             out += [model.score({f for h in map(of, own) if h for f in h}) for own in words]
         return pa.array(out, pa.float64())
 
