@@ -78,7 +78,7 @@ class Model:
 
 
 def fitted(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int], float]], n: int,
-           l2: float = 1e-4, fairness: float = 10.0, rounds: int = 300, rate: float = 0.1) -> tuple[np.ndarray, float]:
+           l2: float = 1e-5, fairness: float = 10.0, rounds: int = 300, rate: float = 0.1) -> tuple[np.ndarray, float]:
     """Weights and intercept of a logistic model over ``n`` binary features (Adam on all rows).
 
     ``pairs`` are swaps: features that go, features that come, and how often per row.
@@ -128,9 +128,11 @@ def _restricted(chosen: dict[int, int]):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          sample: int = 20_000, most_features: int = 8_192, groups: tuple[tuple[str, ...], ...] = IDENTITY, **fit) -> Model:
+          sample: int = 20_000, most_features: int = 8_192, least_z: float = 2.0, groups: tuple[tuple[str, ...], ...] = IDENTITY, **fit) -> Model:
     """Fit on at most ``sample`` labelled rows, the first by a hash of the id, none of them held out.
 
+    A feature takes part if its log odds between the labels are ``least_z`` standard errors from 0 or more.
+
     The driver sees the counts of at most ``most_features`` features and, per sampled row, which of them occur.
     """
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("toxic"))
@@ -145,7 +147,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     counts = held.select("toxic", F.explode("found").alias("f")).groupBy("f").agg(F.count("*").alias("n"), F.sum("toxic").alias("t"))
     a, b = (F.col("t") + 0.5) / (toxic + 1), (F.col("n") - F.col("t") + 0.5) / (clean + 1)
     spread = F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("n") - F.col("t") + 0.5))
-    best = counts.where("n > 2").select("f", F.abs(F.log(a / b) / spread).alias("z")).orderBy(F.desc("z"), "f").limit(most_features)
+    best = counts.where("n > 2").select("f", F.abs(F.log(a / b) / spread).alias("z")).where(F.col("z") >= least_z).orderBy(F.desc("z"), "f").limit(most_features)
     names = [r.f for r in best.collect()]
     chosen = {f: i for i, f in enumerate(names)}
     data = held.mapInArrow(_restricted(chosen), "toxic int, hits array<int>").toArrow()
