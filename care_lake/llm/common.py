@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 from collections.abc import Callable, Iterator
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ROW = "_row"
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,9 +58,17 @@ def process_cache(name: str, version: object = None) -> dict:
     if held.get("name") != (name, version):
         held.clear()
         held.update(name=(name, version), entries={})
+        give_back()
     return held["entries"]
 
 
+def give_back() -> None:
+    """Return memory that Arrow and the C library keep for reuse; workers live through many stages."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that a piece holds few bytes of text, or one row."""
     for batch in batches:
@@ -74,7 +83,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Record
             yield batch.slice(start)
 
 
-def with_vocabulary(cache: dict, words: set, fill: Callable[[list], list], most: int = 250_000) -> dict:
+def with_vocabulary(cache: dict, words: set, fill: Callable[[list], list], most: int = 120_000) -> dict:
     """Make sure that ``cache`` has every word; once it is full, only the words asked for now stay."""
     if len(cache) > most:
         held = {w: cache[w] for w in words if w in cache}

@@ -33,7 +33,7 @@ from care_lake.llm.common import int_lists, process_cache, slices, with_vocabula
 from care_lake.session import staged
 
 LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
-MOST_WORDS = 250_000
+MOST_WORDS = 200_000
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())),
                    ("doc_tokens", pa.int64()), ("window", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())])
 PIECE_DDL = "doc_id long, start long, length long, ids array<int>, doc_tokens long, window long, offset long, open boolean"
@@ -147,7 +147,7 @@ class WordTokens:
         # Lower-casing ASCII first changes nothing, but for the names of special tokens.
         raw = [t.encode() for t in texts]
         words = [(r if b"<|" in r else r.lower()).replace(b"\n", b" ").split(b" ") for r in raw]
-        of = with_vocabulary(self.stretches, set().union(*words), self._new).__getitem__
+        of = with_vocabulary(self.stretches, set().union(*words), self._new, 60_000).__getitem__
         return [b"".join(map(of, w)) for w in words]
 
 

@@ -153,7 +153,7 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
         end, cache = vocabulary.end.to_bytes(4, "little"), process_cache("pieces", model)["parts"]
         for batch in slices(batches, text_col):
             texts = [vocabulary.parts(t or "") for t in batch.column(text_col).to_pylist()]
-            ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 500_000).__getitem__
+            ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 400_000).__getitem__
             yield _appended(batch, ids_col, int_lists([b"".join(map(ids_of, parts)) + end for parts in texts]))
 
     return docs.mapInArrow(run, with_schema(docs, ids_col, T.ArrayType(T.IntegerType())))

@@ -74,7 +74,7 @@ class Model:
 
     def score(self, hits: set[int]) -> float:
         z = self.intercept + sum(self.weights[h] for h in hits)
-        return float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
+        return float(z > 0) if np.isinf(z) else float(1 / (1 + np.exp(-np.clip(z, -700, 700))))
 
 
 def fitted(rows: list[list[int]], y: np.ndarray, pairs: list[tuple[list[int], list[int], float]], n: int,
