@@ -79,14 +79,13 @@ def _products(threshold: float):
     def run(rows: pa.Table) -> pa.Table:
         block, low, high = rows.column("block").to_numpy(), rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         node, n = rows.column("node").to_numpy(), rows.column("n").to_numpy()
-        home = rows.column("home").to_numpy()
         x = matrix(rows.column("vector"))
         norm = np.linalg.norm(x, axis=1)
         a, b = np.flatnonzero(block == low), np.flatnonzero(block == high)
         links = np.zeros((len(x), len(x)), bool)
         if len(a) and len(b):
             cosine = x[a] @ x[b].T / (norm[a][:, None] * norm[b][None])
-            links[np.ix_(a, b)] = (cosine >= threshold) & (home[a][:, None] | home[b][None])
+            links[np.ix_(a, b)] = cosine >= threshold
         np.fill_diagonal(links, False)
         links |= links.T
         count = links @ n
@@ -113,6 +112,22 @@ def _products(threshold: float):
     return run
 
 
+def _dealt(cells: DataFrame, key: list[str], block: int) -> DataFrame:
+    """Rows of each cell, once for each pair of blocks they belong to: vectors at home there with each other, and with
+    the copies from higher cells (blocks below 0). Copies never meet copies."""
+    counts = cells.groupBy(*key).agg(F.count_if("home").alias("own"), F.count_if(~F.col("home")).alias("copies"))
+    counts = counts.where("own > 0 and own + copies > 1").select(
+        *key, F.expr(f"(own + {block - 1}) div {block}").alias("own_blocks"), F.expr(f"(copies + {block - 1}) div {block}").alias("copy_blocks"))
+    rows = cells.join(counts, key)
+    others = F.expr("concat(sequence(0L, own_blocks - 1), if(copy_blocks > 0, sequence(-copy_blocks, -1L), cast(array() as array<bigint>)))")
+    own = rows.where("home").withColumn("block", F.expr("pmod(xxhash64(node), own_blocks)")).withColumn("other", F.explode(others))
+    own = own.withColumn("low", F.expr("if(other < 0, block, least(block, other))")).withColumn("high", F.expr("if(other < 0, other, greatest(block, other))"))
+    copies = rows.where("not home").withColumn("block", F.expr("-1 - pmod(xxhash64(node), copy_blocks)"))
+    copies = copies.withColumn("low", F.explode(F.expr("sequence(0L, own_blocks - 1)"))).withColumn("high", F.col("block"))
+    columns = [*key, "node", "vector", "n", "block", "low", "high"]
+    return own.select(*columns).unionByName(copies.select(*columns))
+
+
 def embedding_components(vectors: DataFrame, threshold: float = 0.98, id_col: str = "vec_id", vector_col: str = "embedding",
                          label_col: str = "label", block: int = 256, sample: int = 20_000, most_cells: int = 4096) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` for every row; ``kept`` marks the representative of a component.
@@ -133,10 +148,7 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.98, id_col: st
         _cells(centroids, chord), f"node long, label {kind}, vector {item}, n long, length int, cell int, home boolean")
     cells = staged(cells, "cells")
     key = ["label", "length", "cell"]
-    blocks = cells.groupBy(*key).agg(F.expr(f"(count(*) + {block - 1}) div {block}").alias("blocks"), F.count("*").alias("members")).where("members > 1")
-    dealt = cells.join(blocks, key).withColumn("block", F.expr("pmod(xxhash64(node), blocks)"))
-    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = dealt.select(*key, "node", "vector", "n", "home", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    dealt = _dealt(cells, key, block)
     found = staged(dealt.groupBy(*key, "low", "high").applyInArrow(_products(threshold), "u long, v long, links long"), "cosines")
     labels = components(found.where("v is not null")).withColumnsRenamed({"label": "component"})
     counts = found.where("v is null").groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
