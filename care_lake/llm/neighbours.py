@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from care_lake.llm.vectors import by_length, few_rows, matrix, sampled, usable
@@ -152,6 +152,20 @@ def _scan(k: int):
     return run
 
 
+def _merged(k: int):
+    """The nearest over all blocks that a query has met: ``k`` rows of each."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        ids = rows.column("ids").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        scores = rows.column("scores").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        order = np.lexsort((ids, scores))
+        best = order[np.sort(np.unique(ids[order], return_index=True)[1])[:k]]
+        return pa.table({"query_id": pa.array([rows.column("query_id")[0].as_py()] * len(best), pa.int64()), "rank": pa.array(range(1, len(best) + 1), pa.int32()),
+                         "vec_id": pa.array(ids[best], pa.int64()), "score": pa.array(scores[best], pa.float64())})
+
+    return run
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding",
             ratio: float = 1.25, spread: float = 1.1, copies: int = 3, list_rows: int = 256, block: int = 256,
             sample: int = 50_000) -> DataFrame:
@@ -182,7 +196,4 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
     asking = chosen.join(grid, ["length", "list"]).select(
         "length", "list", "vec_id", "vector", F.lit(True).alias("asks"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"), F.expr("pmod(xxhash64(vec_id), asks_parts)").alias("asks_part"))
     scanned = members.unionByName(asking).groupBy("length", "list", "part", "asks_part").applyInArrow(_scan(k), "query_id long, ids array<long>, scores array<double>")
-    pairs = scanned.select("query_id", F.explode(F.arrays_zip("ids", "scores")).alias("p")).select("query_id", F.col("p.ids").alias("vec_id"), F.col("p.scores").alias("score"))
-    pairs = pairs.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return scanned.groupBy("query_id").applyInArrow(_merged(k), "query_id long, rank int, vec_id long, score double")
