@@ -30,7 +30,7 @@ from care_lake.session import staged
 BLANKS = " \t\n\x0b\f\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 FOUND = pa.schema([("hash", pa.binary()), ("key", pa.binary()), ("pos", pa.int32()), ("settled", pa.bool_()),
-                   ("starts", pa.bool_()), ("leads", pa.bool_())])
+                   ("starts", pa.bool_())])
 
 
 def line_key(line: Column) -> Column:
@@ -64,7 +64,7 @@ def _stream(min_docs: int):
                     continue
                 starts, at = key != seen, (key, pos)
                 documents, seen = documents + starts, key
-                row = (value, key, pos, documents >= min_docs, starts, not held and documents == 1 and starts)
+                row = (value, key, pos, documents >= min_docs, starts)
                 if documents < min_docs:
                     held.append(row)
                     continue
@@ -115,16 +115,23 @@ def line_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Keep bitmaps of the documents that lose lines: ``key``, ``n_dropped``, ``keep``.
 
     ``keep`` is a zlib-compressed bit per line, first line first; lines past its end are kept. A key found in
-    ``min_docs`` documents loses all its lines, or with ``keep_first`` all but the first by (document key, place).
+    ``min_docs`` documents loses all its lines, or with ``keep_first`` all but those of one document. That is the
+    one which would keep the fewest lines, then lose the most, then the first by key: one order over all documents, so
+    a text of nothing but shared lines stays whole in one place.
     """
     lines = staged(hashed_lines(docs, id_col, text_col, min_length), "lines")
     ordered = lines.repartitionByRange("hash", "key").sortWithinPartitions("hash", "key", "pos")
-    found = staged(ordered.mapInArrow(_stream(min_docs), "hash binary, key binary, pos int, settled boolean, starts boolean, leads boolean"), "line-runs")
+    found = staged(ordered.mapInArrow(_stream(min_docs), "hash binary, key binary, pos int, settled boolean, starts boolean"), "line-runs")
     enough = found.where("starts").groupBy("hash").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     dropped = found.where("settled").unionByName(found.where(~F.col("settled")).join(enough.select("hash"), "hash", "left_semi"))
     if keep_first:
-        leader = dropped.where("leads").groupBy("hash").agg(F.min(F.struct("key", "pos")).alias("leader"))
-        dropped = dropped.join(leader, "hash").where(F.struct("key", "pos") != F.col("leader"))
+        dropped = staged(dropped.select("hash", "key", "pos"), "line-drops")
+        lost = dropped.distinct().groupBy("key").agg(F.count("*").alias("lost"))
+        total = lines.select("key", "pos").distinct().groupBy("key").agg(F.count("*").alias("total"))
+        rank = F.struct((F.col("total") - F.col("lost")).alias("own"), (-F.col("lost")).alias("lost"), "key")
+        ranked = dropped.join(lost.join(total, "key"), "key").select("hash", "key", "pos", rank.alias("rank"))
+        leader = ranked.groupBy("hash").agg(F.min("rank")["key"].alias("leader"))
+        dropped = ranked.join(leader, "hash").where(F.col("key") != F.col("leader"))
     places = dropped.groupBy("key").agg(F.collect_list("pos").alias("places"))
     return places.select("key", F.size("places").cast("long").alias("n_dropped"), F.arrow_udf(_bitmap, "binary")("places").alias("keep"))
 

@@ -28,8 +28,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_shared_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that ten documents or more share go."""
-    return _documents(lines.drop_lines(docs, lines.line_bitmaps(docs)))
+    """Lines that ten documents or more share stay in one of them only."""
+    return _documents(lines.drop_lines(docs, lines.line_bitmaps(docs, keep_first=True)))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ import sentencepiece
 import tokenizers
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from care_lake.llm import lines, minhash, packing, pieces, pii, queries, secrets, sharding
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, hash int, label int, spans string, part int, at int, score string, ids string, n int, _row int"
@@ -372,6 +373,16 @@ def test_first_occurrences_can_stay(spark):
     assert sum("hot" in t for t in got) == 1
 
 
+def test_one_full_text_of_many_copies_reaches_the_later_stages(spark):
+    text = "First line here\nand again\nmiddle line\nand again\nlast line of all"
+    rows = [(i, text) for i in range(20)] + [(100 + i, f"another text {i}\nwith lines of its own {i}") for i in range(40)]
+    shared = [(200 + i, f"a copy with an edit {i}\n" + text.split("\n")[i % 5]) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows + shared], "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    cut = corpus_pipeline.drop_shared_lines(spark, docs, "")
+    left = Counter(r.text for r in corpus_pipeline.drop_near_duplicates(spark, cut, "").collect())
+    assert left == Counter([text, ""] + [t for _, t in rows[20:]] + [t.split("\n")[0] for _, t in shared])
+
+
 def test_lines_of_odd_rows(odd, none):
     out = lines.drop_lines(odd, lines.line_bitmaps(odd, min_docs=1))
     assert out.columns[:len(odd.columns)] == odd.columns
