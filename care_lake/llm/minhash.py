@@ -1,4 +1,4 @@
-"""Near-duplicate documents by ProbMinHash over weighted five-word shingles.
+"""Near-duplicate documents by ProbMinHash over five-word shingles.
 
 * Exact copies (equal words) collapse first; everything below sees one row per distinct text.
 * Every shingle sends the arrivals of a Poisson process whose rate is its weight to random components of the
@@ -10,8 +10,9 @@
   So a bucket of thousands of mutual copies costs a comparison per member, and no link between classes is lost.
 * Verification is exact: Jaccard similarity of the sets of distinct shingles.
 
-Words are what white space separates, in lower case. A shingle's weight is 1 + ln(count), so a line repeated many
-times does not drown the rest. Texts of one to four words are one shingle.
+Words are what white space separates, in lower case. Every distinct shingle has weight 1, so the similarity that
+signatures estimate is the one that is verified, however often a text repeats a passage. Texts of one to four words
+are one shingle.
 
 Defined cases: null, empty and blank texts have no shingle; they are copies of each other and link with no other
 text; repeated rows are copies of each other; a class's id is its smallest non-null doc_id; an empty table gives an
@@ -84,11 +85,6 @@ def signatures(owner: np.ndarray, element: np.ndarray, weight: np.ndarray, n: in
     return value.reshape(n, m)
 
 
-def _weighted(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    element, count = np.unique(found, return_counts=True)
-    return element, 1 + np.log(count)
-
-
 def _words(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
@@ -109,9 +105,9 @@ def _sketched(width: int, bands: int, rows: int):
         for batch in slices(batches, "text"):
             texts = [_words(t) for t in batch.column("text").to_pylist()]
             of, n = _hash_of(texts), len(texts)
-            sets = [_weighted(shingles(w, of, width)) for w in texts]
-            owner = np.repeat(np.arange(n), [len(e) for e, _ in sets])
-            signature = signatures(owner, np.concatenate([e for e, _ in sets]), np.concatenate([w for _, w in sets]), n, m)
+            sets = [np.unique(shingles(w, of, width)) for w in texts]
+            owner = np.repeat(np.arange(n), [len(e) for e in sets])
+            signature = signatures(owner, np.concatenate(sets), np.ones(len(owner)), n, m)
             band = np.zeros((n, bands), np.uint64)
             for i in range(rows):
                 band = _mix(band ^ signature.reshape(n, bands, rows)[:, :, i]) + GOLDEN

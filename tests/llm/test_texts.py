@@ -258,6 +258,16 @@ def test_chains_of_near_copies_in_one_bucket(spark):
     assert got == brute_classes(rows)
 
 
+def test_near_copies_that_repeat_a_section_are_found(spark):
+    rng = random.Random(6)
+    rows = {}
+    for i in range(60):
+        w = [f"w{rng.random()}" for _ in range(100)]
+        rows[2 * i], rows[2 * i + 1] = " ".join(w), " ".join(w[:25] * 300 + w[25:])
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(8)
+    assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()} == {i: i // 2 * 2 for i in rows}
+
+
 def test_signatures_estimate_probability_jaccard():
     import numpy as np
 
