@@ -7,7 +7,8 @@
 * Signatures are cut into bands. The members of a band bucket are compared with one of them (its hub); pairs that
   reach the similarity join their classes. Where a bucket still holds several classes, its members are compared in
   blocks, each pair of blocks in a task of its own, and only pairs of different classes that reach it come out.
-  So a bucket of thousands of mutual copies costs a comparison per member, and no link between classes is lost.
+  So a bucket of thousands of mutual copies costs a comparison per member, and no link between classes is lost:
+  pairs of one class and pairs of sets too unlike in size are passed over, all others are counted exactly.
 * Verification is exact: Jaccard similarity of the sets of distinct shingles.
 
 Words are what white space separates, in lower case. Every distinct shingle has weight 1, so the similarity that
@@ -98,7 +99,7 @@ def _digest(words: list[str]) -> bytes:
 
 
 def _sketched(width: int, bands: int, rows: int):
-    """Content key, band hashes and a byte per signature component."""
+    """Content key and band hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = bands * rows
@@ -112,11 +113,9 @@ def _sketched(width: int, bands: int, rows: int):
             for i in range(rows):
                 band = _mix(band ^ signature.reshape(n, bands, rows)[:, :, i]) + GOLDEN
             lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * bands, pa.int32()), pa.array(band.view(np.int64).ravel()))
-            sketch = _mix(signature).astype(np.uint8)
             contents = pa.array(map(_digest, texts), pa.binary())
-            sketches = pa.array([x.tobytes() for x in sketch], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), contents, lists, sketches],
-                                             names=["doc_id", "key", "content", "bands", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), contents, lists],
+                                             names=["doc_id", "key", "content", "bands"])
 
     return run
 
@@ -127,8 +126,7 @@ def _shingle_sets(width: int):
             texts = [_words(t) for t in batch.column("text").to_pylist()]
             of = _hash_of(texts)
             sets = [np.unique(shingles(w, of, width)).astype("<u8").tobytes() for w in texts]
-            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(sets, pa.binary()), batch.column("sketch")],
-                                             names=["content", "shingles", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column("content"), pa.array(sets, pa.binary())], names=["content", "shingles"])
 
     return run
 
@@ -157,34 +155,45 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(left, "u").join(right, "v").where(_similar(threshold)("left_set", "right_set")).select("u", "v")
 
 
-def _between_blocks(threshold: float, least_agreement: float):
+def _chunks(sets: list[np.ndarray], rows: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Rows in chunks of about ``most`` elements: the rows, their elements sorted, and each element's place in the rows."""
+    ends = np.cumsum([len(sets[j]) for j in rows])
+    for part in np.split(rows, np.flatnonzero(np.diff(ends // most)) + 1):
+        if len(part):
+            element = np.concatenate([sets[j] for j in part])
+            order = np.argsort(element)
+            yield part, element[order], np.repeat(np.arange(len(part), dtype=np.int32), [len(sets[j]) for j in part])[order]
+
+
+def _between_blocks(threshold: float):
     """Links that join different classes among the members of two blocks of a bucket, or of one block.
 
-    Signatures are compared first: at the threshold, components agree far more often than ``least_agreement``.
+    Exact: the elements that a set shares with all others are counted at once, by their places in sorted chunks.
     """
 
     def run(rows: pa.Table) -> pa.Table:
-        content, label = rows.column("content").to_pylist(), rows.column("label").to_pylist()
+        content = rows.column("content").to_pylist()
+        label = np.unique(np.array(rows.column("label").to_pylist(), object), return_inverse=True)[1]
         block, low, high = rows.column("block").to_numpy(), rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         sets = [np.frombuffer(x, "<u8") for x in rows.column("shingles").to_pylist()]
-        sketch = np.stack([np.frombuffer(x, np.uint8) for x in rows.column("sketch").to_pylist()])
-        first, second = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        joined: dict[bytes, bytes] = {}
-
-        def of(x: bytes) -> bytes:
-            while x in joined:
-                x = joined[x]
-            return x
-
-        found = []
-        for n, i in enumerate(first):
-            others = second[n + 1:] if low == high else second
-            near = others[(sketch[others] == sketch[i]).mean(1) >= least_agreement] if len(others) else others
-            for j in near:
-                a, b = of(label[i]), of(label[j])
-                if a != b and jaccard(sets[i], sets[j]) >= threshold:
-                    joined[max(a, b)] = min(a, b)
-                    found.append((content[i], content[j]))
+        size = np.array([len(x) for x in sets])
+        first, found = np.flatnonzero(block == low), []
+        for part, element, place in _chunks(sets, np.flatnonzero(block == high)):
+            for i in first:
+                # a smaller set than the threshold's share of the other one cannot reach it
+                able = (label[part] != label[i]) & (np.minimum(size[part], size[i]) >= threshold * np.maximum(size[part], size[i]) - 1e-6)
+                if low == high:
+                    able &= part > i
+                if not able.any():
+                    continue
+                start, end = np.searchsorted(element, sets[i]), np.searchsorted(element, sets[i], "right")
+                n = end - start
+                at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                both = np.bincount(place[at], minlength=len(part))
+                for j in part[able & (both > 0) & (both / np.maximum(size[part] + size[i] - both, 1) >= threshold)]:
+                    if label[i] != label[j]:
+                        label[label == label[j]] = label[i]
+                        found.append((content[i], content[j]))
         return pa.table({"u": pa.array([p[0] for p in found], pa.binary()), "v": pa.array([p[1] for p in found], pa.binary())})
 
     return run
@@ -213,19 +222,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shares no bucket with a probability of 3e-5, at 0.9 of 9e-10.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), row_key(F.col(id_col), F.col(text_col)).alias("key"))
-    base = staged(source.mapInArrow(_sketched(width, bands, rows), "doc_id long, key binary, content binary, bands array<long>, sketch binary"), "sketches")
-    texts = staged(base.groupBy("content").agg(F.min("key").alias("key"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch")), "distinct")
+    base = staged(source.mapInArrow(_sketched(width, bands, rows), "doc_id long, key binary, content binary, bands array<long>"), "sketches")
+    texts = staged(base.groupBy("content").agg(F.min("key").alias("key"), F.min("bands").alias("bands")), "distinct")
     banded = texts.select("content", F.posexplode("bands").alias("band", "value"))
     hubs = banded.groupBy("band", "value").agg(F.count("*").alias("n"), F.min("content").alias("hub")).where("n > 1").drop("n")
     members = staged(banded.join(hubs, ["band", "value"]), "bucket-members")
     pairs = members.where("content != hub").select(F.col("content").alias("u"), F.col("hub").alias("v")).distinct()
     involved = texts.drop("bands").join(members.select("content").distinct(), "content", "left_semi")
     found = source.select("key", "text").join(involved, "key").dropDuplicates(["content"])
-    sets = staged(found.select("content", "text", "sketch").mapInArrow(_shingle_sets(width), "content binary, shingles binary, sketch binary"), "shingles")
+    sets = staged(found.select("content", "text").mapInArrow(_shingle_sets(width), "content binary, shingles binary"), "shingles")
     links = staged(_verified(pairs, sets, threshold), "links")
     labels = components(links)
     blocks = _blocked(members, labels, block).join(sets, "content")
-    more = staged(blocks.groupBy("band", "value", "low", "high").applyInArrow(_between_blocks(threshold, 0.5), "u binary, v binary"), "links-between")
+    more = staged(blocks.groupBy("band", "value", "low", "high").applyInArrow(_between_blocks(threshold), "u binary, v binary"), "links-between")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     nodes = base.select("doc_id", "key", F.col("content").alias("node"))

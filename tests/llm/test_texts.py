@@ -268,6 +268,20 @@ def test_near_copies_that_repeat_a_section_are_found(spark):
     assert {r.doc_id: r.class_id for r in minhash.near_duplicates(df).collect()} == {i: i // 2 * 2 for i in rows}
 
 
+def test_links_that_share_a_single_band_are_verified(spark):
+    """All texts share a passage, so buckets hold many classes; signatures of three components decide on no pair in them."""
+    rng = random.Random(8)
+    passage, rows = [f"p{i}" for i in range(120)], {}
+    for i in range(100):
+        w = [f"w{rng.random()}" for _ in range(100)]
+        rows[2 * i], rows[2 * i + 1] = " ".join(passage + w), " ".join(passage + w[:-20] + [f"v{rng.random()}" for _ in range(18)])
+    df = spark.createDataFrame(list(rows.items()), "doc_id long, text string").repartition(8)
+    want = brute_classes(rows)
+    assert want == {i: i // 2 * 2 for i in rows}
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(df, bands=3, rows=1).collect()}
+    assert sum(got[i] != want[i] for i in rows) <= 2  # 0.6 % of the pairs share no component
+
+
 def test_signatures_estimate_probability_jaccard():
     import numpy as np
 
