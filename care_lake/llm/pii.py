@@ -3,9 +3,10 @@
 Emails, IP addresses, card and phone numbers are the protected entities. The words near their occurrences are
 candidate terms. Over the whole corpus, n(e), n(t) and n(e, t) count the documents with the entity, with the term,
 and with the term near the entity. The term reveals PMI = log2(n(e,t) N / (n(e) n(t))) bits about an entity of
-IC = log2(N / n(e)) bits. It discloses the entity when PMI >= IC / alpha, PMI >= ``least_bits`` and at least
-``support`` documents show the pair. In the documents that hold the entity, such a term is removed if it reveals
-all of IC, else generalised to its initial.
+IC = log2(N / n(e)) bits. It discloses the entity when PMI >= IC / alpha, at least ``support`` documents show the
+pair, and chance would not: for a term spread over the documents without regard to the entity, a share of
+n(e, t) / n(t) or more near it has a probability of at most ``chance`` (Chernoff's bound). In the documents that hold
+the entity, such a term is removed if it reveals all of IC, else generalised to its initial.
 
 n(t) is needed for candidate terms only. A bitmap of fixed size lets each task count the words that may be
 candidates, a join with the candidates then removes chance hits; nothing the size of the corpus' vocabulary moves.
@@ -16,6 +17,7 @@ null id is an id like any other; documents without entity are never changed; an
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -171,7 +173,7 @@ def _counted(bitmap: bytes):
     return run
 
 
-def disclosing(found: DataFrame, texts: DataFrame, alpha: float, support: int, least_bits: float) -> DataFrame:
+def disclosing(found: DataFrame, texts: DataFrame, alpha: float, support: int, chance: float) -> DataFrame:
     """``entity, term, total`` of the terms that disclose an entity; ``total`` says whether they reveal all of it."""
     near = found.where(F.size("near") > 0).select(F.explode("near").alias("near")).select("near.entity", "near.terms")
     n = found.count()
@@ -181,8 +183,11 @@ def disclosing(found: DataFrame, texts: DataFrame, alpha: float, support: int, l
     terms = pairs.select("term").distinct()
     counted = texts.mapInArrow(_counted(_bitmap(terms)), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_term"))
     known = F.log2(F.lit(float(n)) / F.col("n_entity"))
-    revealed = known + F.log2(F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")))
-    both = pairs.join(counted, "term").where((revealed >= known / alpha) & (revealed >= least_bits))
+    share, expected = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term")), F.col("n_entity") / F.lit(float(n))
+    revealed = known + F.log2(share)
+    elsewhere = F.when(share < 1, (1 - share) * F.log2((1 - share) / F.greatest(1 - expected, F.lit(1e-12)))).otherwise(0.0)
+    evidence = F.col("n_term") * (share * revealed + elsewhere)  # bits against chance
+    both = pairs.join(counted, "term").where((revealed >= known / alpha) & (evidence >= -math.log2(chance)))
     return both.select("entity", "term", (revealed >= known).alias("total"))
 
 
@@ -205,7 +210,7 @@ def _term_spans(text: pa.Array, spans: pa.Array, terms: pa.Array) -> pa.Array:
 
 
 def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 8, alpha: float = 1.1,
-                   support: int = 2, least_bits: float = 6.0) -> DataFrame:
+                   support: int = 2, chance: float = 0.01) -> DataFrame:
     """``doc_id, key, spans, removed`` of every row: spans of (start, kind, end), sorted; ``removed`` lists the terms to
     remove whole, the other terms are to be generalised. Spans of a term never meet those of an entity.
     """
@@ -213,7 +218,7 @@ def personal_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = source.schema["doc_id"].dataType.simpleString()
     span = "array<struct<start: int, kind: int, end: int>>"
     found = staged(source.mapInArrow(_found(window), f"doc_id {kind}, key binary, spans {span}, near array<struct<entity: string, terms: array<string>>>"), "entities")
-    told = staged(disclosing(found, source.select("text"), alpha, support, least_bits), "disclosing")
+    told = staged(disclosing(found, source.select("text"), alpha, support, chance), "disclosing")
     holders = found.where(F.size("near") > 0).dropDuplicates(["key"]).select("key", "spans", F.explode("near.entity").alias("entity"))
     holders = holders.join(told, "entity").groupBy("key").agg(
         F.collect_set("term").alias("terms"), F.collect_set(F.when(F.col("total"), F.col("term"))).alias("removed"), F.first("spans").alias("spans"))

@@ -169,6 +169,19 @@ def test_disclosure_matches_counts_by_hand(spark, docs, texts):
         assert got[i] == want
 
 
+def told_terms(spark, rows):
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(4)
+    return {(rows[r.doc_id][s["start"]:s["end"]]) for r in pii.personal_spans(df).collect() for s in r.spans if s["kind"] == 4}
+
+
+def test_terms_of_frequent_entities_and_small_tables_disclose(spark):
+    third = ["doctor zanzibar writes from jane@x.org about things" + " rareword" * (i < 2) for i in range(100)]
+    assert told_terms(spark, third + [f"doctor writes from home about things {i}" for i in range(200)]) == {"zanzibar"}
+    small = ["doctor zanzibar writes from jane@x.org about things"] * 2
+    assert told_terms(spark, small + [f"doctor writes from home about things {i}" for i in range(48)]) == {"zanzibar"}
+    assert told_terms(spark, [t.replace("zanzibar", "rareword") if i < 2 else t for i, t in enumerate(third[2:])] + small[:1]) == set()
+
+
 def test_personal_data_of_odd_rows(odd, none):
     out = pii.sanitise(odd, pii.personal_spans(odd))
     assert out.columns == odd.columns
