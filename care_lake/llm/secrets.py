@@ -11,8 +11,10 @@ numbers in its alphabet, and three tests ask whether they look uniformly random:
 Fisher's method combines them into one p-value. Random strings have p-values spread evenly over 0 to 1, text has
 small ones, and how small depends on the length. So, for each encoding and length class over the whole table, the
 even part is estimated from the p-values above one half; the class accepts the lowest p-value at which the
-estimated share of others among the accepted stays within ``fdr``. The histogram behind this has at most
-``5 * 8 * BINS`` rows, whatever the size of the table.
+estimated share of others among the accepted stays within ``fdr``. The estimate leans to the high side, by one
+standard error and a few strings if the neighbouring length classes are random, so that a few random strings are not
+lost beside many others. The histogram has ``BINS`` equal bins, the first of them halved ``HALVINGS`` times towards 0,
+and so at most ``5 * 8 * (BINS + HALVINGS)`` rows, whatever the size of the table.
 
 Defined cases: a null text is empty and has no spans; rows are never joined, so repeated rows and null ids simply
 repeat; an empty table gives an empty result.
@@ -21,7 +23,7 @@ repeat; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -45,6 +47,7 @@ ALPHABETS = {
 }
 KINDS = ("assign", "access", "hex", "random")
 BINS = 20
+HALVINGS = 40  # bins below 0.5 / BINS, numbered -1, -2, ... towards 0
 
 
 def located(found: Column, parts: Column) -> Column:
@@ -156,19 +159,38 @@ def _without_values(spans: Column) -> Column:
     return F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
 
 
+def bin_of(p: Column) -> Column:
+    """Number of the bin of a p-value."""
+    halved = F.floor(F.log2(F.lit(1 / BINS) / F.greatest(p, F.lit(1e-300))))
+    return F.when(p < 1 / BINS, -F.least(halved, F.lit(HALVINGS))).otherwise(F.least(F.floor(p * BINS), F.lit(BINS - 1))).cast("int")
+
+
+def lower_edge(i: int) -> float:
+    """Least p-value of a bin."""
+    return i / BINS if i > 0 else 0.0 if i == -HALVINGS else 2.0 ** (i - 1) / BINS
+
+
 def accepted_from(histogram: list[tuple[str, int, int]], fdr: float) -> dict[str, float]:
     """Lowest accepted p-value of each class, from (class, bin, count)."""
-    counts: dict[str, list[int]] = defaultdict(lambda: [0] * BINS)
+    counts: dict[str, Counter] = defaultdict(Counter)
     for name, i, n in histogram:
         counts[name][i] += n
+    high = {name: sum(n for i, n in own.items() if i >= BINS // 2) for name, own in counts.items()}
     out = {}
     for name, own in counts.items():
-        even = min(sum(own), 2 * sum(own[BINS // 2:]))
-        for i in range(BINS // 2 + 1):
-            taken = sum(own[i:])
-            if taken and 1 - min(1.0, even * (1 - i / BINS) / taken) <= fdr:
-                out[name] = i / BINS
+        encoding, _, length = name.rpartition("-")
+        beside = [f"{encoding}-{int(length) + d}" for d in (-1, 1)] if length.isdigit() else []
+        beside = [x for x in beside if x in counts]
+        pooled = sum(counts[x].total() for x in beside)
+        random = min(1.0, 2 * sum(high[x] for x in beside) / pooled) if pooled else 0.0
+        even = 2 * high[name] + max(1.0, 4 * random)
+        even = min(own.total(), even + math.sqrt(even))
+        taken = own.total()
+        for i in range(-HALVINGS, BINS // 2 + 1):
+            if taken and 1 - min(1.0, even * (1 - lower_edge(i)) / taken) <= fdr:
+                out[name] = lower_edge(i)
                 break
+            taken -= own[i]
     return out
 
 
@@ -187,7 +209,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...]
     df = df.withColumn("random", F.filter(mixed, lambda s: ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
     df = df.select("carried", *[_without_values(F.col(c)).alias(c) for c in KINDS[:3]], F.transform("random", _tested).alias("random"))
     found = staged(df, "secrets")
-    bins = found.select(F.explode("random").alias("r")).select("r.class", F.least(F.floor(F.col("r.p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
+    bins = found.select(F.explode("random").alias("r")).select("r.class", bin_of(F.col("r.p")).alias("bin"))
     accepted = accepted_from([tuple(r) for r in bins.groupBy("class", "bin").count().collect()], fdr)
     least = F.create_map(*[F.lit(x) for pair in (accepted or {"": 2.0}).items() for x in pair])
     random = F.filter("random", lambda s: s["p"] >= F.coalesce(F.element_at(least, s["class"]), F.lit(2.0)))

@@ -1,6 +1,7 @@
 """Operators on documents against brute force, and their defined cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -86,6 +87,31 @@ def test_threshold_of_an_even_and_a_mixed_class():
     assert 0 < mixed["a"] <= 0.5
 
 
+def recall(n_random, n_others, seeds=200):
+    """Share of random strings accepted beside others with tiny p-values."""
+    found = 0
+    for seed in range(seeds):
+        rng = random.Random(seed)
+        p = [rng.random() for _ in range(n_random)]
+        bins = [("a", max(-secrets.HALVINGS, -int(math.log2(0.05 / x))) if x < 0.05 else int(20 * x), 1) for x in p]
+        least = secrets.accepted_from([*bins, ("a", -secrets.HALVINGS, n_others)], 0.05).get("a", 2.0)
+        found += sum(x >= least for x in p)
+    return found / (n_random * seeds)
+
+
+def test_few_random_strings_beside_many_others_are_kept():
+    assert recall(1, 100) == 1
+    assert recall(10, 100) >= 0.95
+    assert recall(100, 10_000) >= 0.98
+
+
+def test_bins_and_their_edges_agree(spark):
+    p = [0.0, 1e-30, 1e-9, 0.001, 0.024, 0.026, 0.049, 0.051, 0.5, 0.999, 1.0]
+    bins = [r.b for r in spark.createDataFrame([(x,) for x in p], "p double").select(secrets.bin_of(F.col("p")).alias("b")).collect()]
+    assert bins == sorted(bins) and bins[0] == -secrets.HALVINGS and bins[-1] == 19
+    assert all(secrets.lower_edge(b) <= x < (secrets.lower_edge(b + 1) if b < 19 else 1.1) for b, x in zip(bins, p))
+
+
 def test_tail_probabilities(spark):
     z = spark.createDataFrame([(-1.96,), (0.0,), (1.0,), (3.0,)], "z double").select(secrets.two_sided(F.col("z")).alias("p"), secrets.upper_tail(F.col("z")).alias("u")).collect()
     assert [round(r.p, 5) for r in z] == [0.05, 1.0, 0.31731, 0.0027]
