@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -42,7 +43,6 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 WORD = re.compile(r"[^\W\d_]{3,}")
 DIGIT = re.compile(r"[0-9]")
 
-NEAR_CHARACTERS = 240
 BITS = 1 << 23
 
 
@@ -105,17 +105,30 @@ def entity_name(text: str, span: tuple[int, int, int]) -> str:
     return f"{span[1]}:" + ("".join(DIGIT.findall(value)) if span[1] > 1 else value)
 
 
-def near_terms(text: str, spans: list[tuple[int, int, int]], i: int, window: int) -> set[str]:
-    """Words within ``window`` words before and after a span, outside all spans."""
-    start, _, end = spans[i]
-
-    def free(a: int, b: int) -> bool:
-        return all(b <= s or a >= e for s, _, e in spans[max(0, i - 16):i + 17])
-
-    low, high = max(0, start - NEAR_CHARACTERS), min(len(text), end + NEAR_CHARACTERS)
-    before = [m for m in WORD.finditer(text, low, start) if (m.start() > low or not low) and free(*m.span())]
-    after = [m for m in WORD.finditer(text, end, high) if (m.end() < high or high == len(text)) and free(*m.span())]
-    return {m[0].lower() for m in [*before[-window:], *after[:window]]}
+def free_words(text: str, spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int], list[str]]:
+    """Starts, ends and lower case of the words outside all spans."""
+    taken: list[list[int]] = []
+    for start, _, end in spans:
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], end)
+        else:
+            taken.append([start, end])
+    starts, ends, words, at = [], [], [], 0
+    for m in WORD.finditer(text):
+        while at < len(taken) and taken[at][1] <= m.start():
+            at += 1
+        if at == len(taken) or taken[at][0] >= m.end():
+            starts.append(m.start())
+            ends.append(m.end())
+            words.append(m[0].lower())
+    return starts, ends, words
+
+
+def near_terms(text: str, spans: list[tuple[int, int, int]], i: int, window: int, free: tuple | None = None) -> set[str]:
+    """The ``window`` words before and after a span that are outside all spans, however far; ``free`` as of free_words."""
+    starts, ends, words = free or free_words(text, spans)
+    before, after = bisect_right(ends, spans[i][0]), bisect_left(starts, spans[i][2])
+    return {*words[max(0, before - window):before], *words[after:after + window]}
 
 
 def _found(window: int):
@@ -129,8 +142,9 @@ def _found(window: int):
             for text in batch.column("text").to_pylist():
                 own = entities(text or "")
                 terms: dict[str, set] = {}
+                free = free_words(text, own) if own else None
                 for i, s in enumerate(own):
-                    terms.setdefault(entity_name(text, s), set()).update(near_terms(text, own, i, window))
+                    terms.setdefault(entity_name(text, s), set()).update(near_terms(text, own, i, window, free))
                 spans.append([{"start": a, "kind": k, "end": b} for a, k, b in own])
                 near.append([{"entity": e, "terms": sorted(t)} for e, t in terms.items()])
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), pa.array(spans, spans_type), pa.array(near, near_type)],

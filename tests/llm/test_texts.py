@@ -208,6 +208,13 @@ def test_terms_of_frequent_entities_and_small_tables_disclose(spark):
     assert told_terms(spark, [t.replace("zanzibar", "rareword") if i < 2 else t for i, t in enumerate(third[2:])] + small[:1]) == set()
 
 
+def test_words_behind_long_gaps_are_near():
+    text = "zanzibar " + "0 " * 400 + "a@x.org " + " ".join(f"b{i}@x.org" for i in range(40)) + " " * 500 + "y" * 300 + " mayor"
+    spans = pii.entities(text)
+    assert len(spans) == 41
+    assert all(pii.near_terms(text, spans, i, 2) == {"zanzibar", "y" * 300, "mayor"} for i in range(41))
+
+
 def test_personal_data_of_odd_rows(odd, none):
     out = pii.sanitise(odd, pii.personal_spans(odd))
     assert out.columns == odd.columns
