@@ -69,13 +69,13 @@ def give_back() -> None:
         trim(0)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a piece holds few bytes of text, or one row."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches so that a piece holds at most so many bytes of text, or one row."""
     for batch in batches:
         start, held = 0, 0
         sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
         for i, size in enumerate(sizes):
-            if held and held + size > BATCH_BYTES:
+            if held and held + size > most:
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += size

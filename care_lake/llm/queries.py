@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from care_lake.llm import embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, secrets, sharding, toxicity
+from care_lake.llm import embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, secrets, sharding, token_files, toxicity
 from care_lake.llm.common import table
+from care_lake.session import shared_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -64,9 +67,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared_folder(spark)}/token-files/{uuid.uuid4().hex}"
+    token_files.write_tokens(table(spark, sf_dir, "documents"), packing.read_tokenizer(WORD_TOKENIZER), folder)
+    return token_files.token_digests(spark, folder)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_minhash_dedup, op5_packing, op6_embedding_dedup, op7_line_dedup,
-    op8_toxicity, op9_nearest_neighbours, op10_sharding,
+    op8_toxicity, op9_nearest_neighbours, op10_sharding, op11_token_files,
 )}
 
 _UPPER, _LOWER, _BLANKS = lines.UPPER, lines.LOWER, "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
