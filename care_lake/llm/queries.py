@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from care_lake.llm import embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, secrets, sharding, token_files, toxicity
+from care_lake.llm import embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, prefix_trie, secrets, sharding, token_files, toxicity
 from care_lake.llm.common import table
 from care_lake.session import shared_folder
 
@@ -73,9 +73,16 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_digests(spark, folder)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ranked_turns(table(spark, sf_dir, "conversations"))
+    opens_as, shared = F.expr("seq - seq % 5"), F.crc32(F.col("seq").cast("string").cast("binary")) % 9
+    return prefix_trie.prefix_trie(*prefix_trie.with_shared_openings(turns, opens_as, shared, longest=8))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_minhash_dedup, op5_packing, op6_embedding_dedup, op7_line_dedup,
     op8_toxicity, op9_nearest_neighbours, op10_sharding, op11_token_files,
+    op12_prefix_trie,
 )}
 
 _UPPER, _LOWER, _BLANKS = lines.UPPER, lines.LOWER, "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -96,4 +103,42 @@ WITH split AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    # CRC-32 bit by bit: a byte is added, then eight steps of the register follow
+    "op12_prefix_trie": """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+    md5(strlen(role) || ':' || role || text)) - 1 AS pos FROM turns
+), ids AS (
+  SELECT DISTINCT conv_id, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+    lambda x: [ascii(x)::BIGINT] || [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])) AS steps FROM turns
+), heads AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base, xor(list_reduce([4294967295::BIGINT] || steps, lambda c, x:
+    CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END), 4294967295) % 9 AS h FROM ids
+), parts AS (
+  SELECT h.conv_id, 0 AS side, o.pos, o.role, o.text FROM heads h JOIN own o ON o.conv_id = h.base AND o.pos < h.h
+  UNION ALL SELECT h.conv_id, 1, o.pos, o.role, o.text FROM heads h JOIN own o ON o.conv_id = h.conv_id AND o.pos >= h.h
+), rebuilt AS (
+  SELECT h.conv_id, coalesce(list({'r': p.role, 't': p.text} ORDER BY p.side, p.pos) FILTER (WHERE p.side IS NOT NULL), []) AS seq
+  FROM heads h LEFT JOIN parts p ON p.conv_id = h.conv_id GROUP BY h.conv_id
+), prefixes AS (
+  SELECT conv_id, len(seq) AS size, unnest(generate_series(0, len(seq)))::BIGINT AS depth, seq FROM rebuilt
+), named AS (
+  SELECT conv_id, depth, size, list_slice(seq, 1, depth) AS prefix FROM prefixes
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE size = depth), '')) AS ends_sha256
+  FROM named GROUP BY prefix, depth
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id, CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * strlen(n.prefix[-1].t) END AS saved,
+    (SELECT count(*) FROM nodes c WHERE c.depth = n.depth + 1 AND list_slice(c.prefix, 1, n.depth) = n.prefix) AS n_children
+  FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.prefix = list_slice(n.prefix, 1, n.depth - 1)
+), below AS (
+  SELECT list_slice(prefix, 1, d) AS prefix, saved, n_children FROM (SELECT *, unnest(generate_series(0, depth)) AS d FROM linked)
+), sums AS (
+  SELECT prefix, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM below GROUP BY prefix
+)
+SELECT l.conv_id, l.depth, l.parent_conv_id, l.n_convs, l.n_children, s.n_leaves, s.saved_tokens, l.ends_sha256
+FROM linked l JOIN sums s ON s.prefix = l.prefix""",
 }
