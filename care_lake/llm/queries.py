@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from care_lake.llm import embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, prefix_trie, secrets, sharding, token_files, toxicity
+from care_lake.llm import alignment, embedding_dedup, lines, minhash, neighbours, packing, pieces, pii, prefix_trie, secrets, sharding, token_files, toxicity
 from care_lake.llm.common import table
 from care_lake.session import shared_folder
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -79,10 +80,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.prefix_trie(*prefix_trie.with_shared_openings(turns, opens_as, shared, longest=8))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignment_statistics(docs, packing.read_tokenizer(BYTE_TOKENIZER), pieces.read_model(PIECE_MODEL))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_secret_scan, op2_pii, op3_sentencepiece, op4_minhash_dedup, op5_packing, op6_embedding_dedup, op7_line_dedup,
     op8_toxicity, op9_nearest_neighbours, op10_sharding, op11_token_files,
-    op12_prefix_trie,
+    op12_prefix_trie, op13_alignment,
 )}
 
 _UPPER, _LOWER, _BLANKS = lines.UPPER, lines.LOWER, "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
