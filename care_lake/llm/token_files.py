@@ -7,11 +7,12 @@ documents' ids). ``manifest`` is a table with a row per part: its counts, and as
 documents (``first_doc``) and of ids (``base``) in all parts before. So every part is written without knowing the
 others, and a document's place among all ids is ``base`` plus its offset.
 
-Documents are encoded where they are read, and only packed ids are shuffled. A part is written under the name of
-the task attempt and then renamed; a repeated task writes the same bytes again.
+Texts are range-partitioned by id, then encoded and written in one pass, so ids are never shuffled (they pack worse than
+their texts). A part is written under the name of the task attempt and then renamed; a repeated task writes the same
+bytes again.
 
 Defined cases: a null or empty text is the end id alone; null ids come first (their number stands in the manifest,
-their places in ``.docs`` hold 0); rows that share an id are ordered by the CRC-32 of their ids; an empty table gives
+their places in ``.docs`` hold 0); rows that share an id are ordered by the CRC-32 of their texts; an empty table gives
 an empty manifest and no files.
 """
 
@@ -32,7 +33,6 @@ from care_lake.llm.common import process_cache, slices
 from care_lake.llm.units import WordIds
 from care_lake.session import staged
 
-ENCODED = pa.schema([("doc_id", pa.int64()), ("tie", pa.int64()), ("n", pa.int64()), ("ids", pa.binary())])
 PART = pa.schema([("part", pa.int32()), ("docs", pa.int64()), ("ids", pa.int64()), ("null_ids", pa.int64())])
 TEXT_BYTES = 4 << 20
 IDS_READ = 1 << 20
@@ -45,39 +45,25 @@ def opened(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(use_mmap=True), "/" + folder.removeprefix("file:").lstrip("/")
 
 
-def _encode(tokenizer: str, end_id: int, width: int):
+def _write(tokenizer: str, folder: str, end_id: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = process_cache("token files", tokenizer)
         ids_of = held.get("ids") or held.setdefault("ids", WordIds(tokenizer))
-        end = end_id.to_bytes(width, "little")
-        for batch in slices(batches, "text", TEXT_BYTES):
-            ids, ends = ids_of(batch.column("text"))
-            raw, places = ids.astype(f"<u{width}").tobytes(), (ends * width).tolist()
-            packed = [raw[a:b] + end for a, b in zip([0, *places], places)]
-            columns = [batch.column("doc_id"), map(zlib.crc32, packed), [len(p) // width for p in packed], packed]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, ENCODED)], schema=ENCODED)
-
-    return run
-
-
-def _write(folder: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         files, root = opened(folder)
         part, docs, ids, nulls = task.partitionId(), 0, 0, 0
         names = {kind: f"{root}/{part:06d}.{kind}" for kind in ("ids", "offsets", "docs")}
         out = {}
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches, "text", TEXT_BYTES):
             if not out:
                 out = {kind: files.open_output_stream(f"{name}.{task.taskAttemptId()}") for kind, name in names.items()}
                 out["offsets"].write(bytes(8))
-            ends = ids + np.cumsum(batch.column("n").to_numpy())
+            found, ends = ids_of(batch.column("text"))
+            with_ends = np.insert(found.astype(f"<u{width}"), ends, end_id)  # behind each document
+            out["ids"].write(with_ends.tobytes())
+            ends = ids + ends + np.arange(1, len(ends) + 1)
             out["offsets"].write(ends.astype("<u8").tobytes())
             out["docs"].write(batch.column("doc_id").fill_null(0).to_numpy().astype("<i8").tobytes())
-            for piece in batch.column("ids"):
-                out["ids"].write(piece.as_buffer())
             docs, ids, nulls = docs + batch.num_rows, int(ends[-1]), nulls + batch.column("doc_id").null_count
         for kind, stream in out.items():
             stream.close()
@@ -98,12 +84,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str, end_id: int = 1,
     width = 2 if max(tokenizers.Tokenizer.from_str(tokenizer).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     files, root = opened(folder)
     files.create_dir(root)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    encoded = rows.mapInArrow(_encode(tokenizer, end_id, width), "doc_id long, tie long, n long, ids binary")
-    encoded = staged(encoded.withColumn("row", F.monotonically_increasing_id()), "token-ids")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                       F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("tie"), F.monotonically_increasing_id().alias("row"))
     order = ["doc_id", "tie", "row"]
-    ordered = encoded.repartitionByRange(*([n_parts] if n_parts else []), *order).sortWithinPartitions(*order).select("doc_id", "n", "ids")
-    parts = staged(ordered.mapInArrow(_write(folder), "part int, docs long, ids long, null_ids long"), "token-parts")
+    ordered = rows.repartitionByRange(*([n_parts] if n_parts else []), *order).sortWithinPartitions(*order).select("doc_id", "text")
+    parts = staged(ordered.mapInArrow(_write(tokenizer, folder, end_id, width), "part int, docs long, ids long, null_ids long"), "token-parts")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
     manifest = parts.select(
         "*", F.lit(width).alias("width"), F.coalesce(F.sum("docs").over(before), F.lit(0)).alias("first_doc"),

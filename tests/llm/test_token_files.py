@@ -28,7 +28,7 @@ def whole(tokenizer):
 def expected(rows, whole):
     """Ids of documents in ascending order, nulls first, and the ids before each."""
     out, before = [], 0
-    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], zlib.crc32(np.array(whole(r[1]) + [1], "<u2").tobytes()))):
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0], zlib.crc32((r[1] or "").encode()))):
         ids = whole(t) + [1]
         out.append((i, before, ids))
         before += len(ids)
