@@ -14,35 +14,26 @@ window is cut into whole windows and a rest; an empty table gives an empty resul
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
-from pathlib import Path
-from struct import pack as pack_ids
-from unicodedata import is_normalized
 
 import pandas as pd
 import pyarrow as pa
-import tokenizers
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from care_lake.llm.common import int_lists, process_cache, slices, with_vocabulary
+from care_lake.llm.common import int_lists, process_cache, slices
+from care_lake.llm.units import WordIds, read_tokenizer  # noqa: F401  (readers of packing find it here)
 from care_lake.session import staged
 
-LETTERS_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]*)")
-MOST_WORDS = 200_000
+TEXT_BYTES = 4 << 20
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())),
                    ("doc_tokens", pa.int64()), ("window", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())])
 PIECE_DDL = "doc_id long, start long, length long, ids array<int>, doc_tokens long, window long, offset long, open boolean"
 
 
-def read_tokenizer(path: str) -> str:
-    return Path(path).read_text(encoding="utf-8")
-
-
 class Open:
     """Open windows, ordered by the room that is left in them."""
 
@@ -94,75 +85,20 @@ def packed(docs: Iterator[tuple[object, int]], size: int, most: int, least_cut:
         yield window, pieces, True
 
 
-class WordTokens:
-    """Ids of stretches between blanks, as bytes. The tokenizer drops white space, so each distinct one is encoded once.
-
-    A stretch of letters, or of letters and then punctuation, is what the tokenizer itself would split there. If
-    normalization leaves the letters as they are, its merges are asked directly; all else goes through the whole tokenizer.
-    """
-
-    def __init__(self, tokenizer: str):
-        self.tokenizer = tokenizers.Tokenizer.from_str(tokenizer)
-        self.merge, self.stretches, self.letters, self.tails = self.tokenizer.model.tokenize, {}, {}, {}
-        visible = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that byte-level vocabularies show as they are
-        hidden = [b for b in range(256) if b not in set(visible)]
-        self.shown = {**{b: chr(b) for b in visible}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
-
-    def _letters(self, word: str) -> bytes | None:
-        known = self.letters.get(word)
-        if known is None and word.isalpha() and word.lower() == word and is_normalized("NFC", word):
-            text = word if word.isascii() else "".join(map(self.shown.__getitem__, word.encode()))
-            found = [t.id for t in self.merge(text)]
-            known = self.letters[word] = pack_ids(f"<{len(found)}i", *found)
-        return known
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [pack_ids(f"<{len(e.ids)}i", *e.ids) for e in found]
-
-    def _tail(self, tail: str) -> bytes:
-        known = self.tails.get(tail)
-        if known is None:
-            known = self._whole([tail])[0]
-            if len(self.tails) < MOST_WORDS:
-                self.tails[tail] = known
-        return known
-
-    def _new(self, missing: list[bytes]) -> list[bytes]:
-        if len(self.letters) > MOST_WORDS:
-            self.letters.clear()
-        out, whole = [], []
-        for i, raw in enumerate(missing):
-            text = raw.decode()
-            match = LETTERS_AND_MARKS.fullmatch(text)
-            head = self._letters(match[1]) if match else None
-            out.append(None if head is None else head + self._tail(match[2]) if match[2] else head)
-            if head is None:
-                whole.append(i)
-        for i, ids in zip(whole, self._whole([missing[i].decode() for i in whole]), strict=True):
-            out[i] = ids
-        return out
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        # Lower-casing ASCII first changes nothing, but for the names of special tokens.
-        raw = [t.encode() for t in texts]
-        words = [(r if b"<|" in r else r.lower()).replace(b"\n", b" ").split(b" ") for r in raw]
-        of = with_vocabulary(self.stretches, set().union(*words), self._new, 60_000).__getitem__
-        return [b"".join(map(of, w)) for w in words]
-
-
 def _first_pass(tokenizer: str, size: int, most: int, least_cut: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = process_cache("packing", tokenizer)
-        encode = held.get("encode") or held.setdefault("encode", WordTokens(tokenizer))
+        encode = held.get("encode") or held.setdefault("encode", WordIds(tokenizer))
         base = TaskContext.get().partitionId() << 32
         end = end_id.to_bytes(4, "little")
 
         def documents():
-            for batch in slices(batches, "text"):
-                tokens = encode([x or "" for x in batch.column("text").to_pylist()])
-                for doc_id, t in zip(batch.column("doc_id").to_pylist(), tokens, strict=True):
-                    yield (doc_id, t + end), len(t) // 4 + 1
+            for batch in slices(batches, "text", TEXT_BYTES):
+                ids, ends = encode(batch.column("text"))
+                raw, first = ids.astype("<i4").tobytes(), 0
+                for doc_id, last in zip(batch.column("doc_id").to_pylist(), ends.tolist(), strict=True):
+                    yield (doc_id, raw[4 * first:4 * last] + end), last - first + 1
+                    first = last
 
         def block(rows: list) -> pa.RecordBatch:
             columns = list(zip(*rows))
