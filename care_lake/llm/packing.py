@@ -30,8 +30,8 @@ from care_lake.session import staged
 
 TEXT_BYTES = 4 << 20
 PIECE = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.list_(pa.int32())),
-                   ("doc_tokens", pa.int64()), ("window", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())])
-PIECE_DDL = "doc_id long, start long, length long, ids array<int>, doc_tokens long, window long, offset long, open boolean"
+                   ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("window", pa.int64()), ("offset", pa.int64()), ("open", pa.bool_())])
+PIECE_DDL = "doc_id long, start long, length long, ids array<int>, ids_crc32 long, doc_tokens long, window long, offset long, open boolean"
 
 
 class Open:
@@ -108,7 +108,8 @@ def _first_pass(tokenizer: str, size: int, most: int, least_cut: int, end_id: in
         rows, size_held = [], 0
         for window, pieces, is_open in packed(documents(), size, most, least_cut):
             for (doc_id, t), start, length, offset in pieces:
-                rows.append((doc_id, start, length, t[4 * start:4 * (start + length)], len(t) // 4, base + window, offset, is_open))
+                ids = t[4 * start:4 * (start + length)]
+                rows.append((doc_id, start, length, ids, zlib.crc32(ids), len(t) // 4, base + window, offset, is_open))
                 size_held += length
             if size_held > 1 << 20:
                 yield block(rows)
@@ -137,7 +138,9 @@ def _merge_level(left: DataFrame, size: int, most: int, level: int, last: bool)
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 4096, open_windows: int = 64, least_cut: int = 64,
          end_id: int = 2, fan_in: int = 64, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Pieces of documents in sequences: ``doc_id, start, ids, doc_tokens, sequence_id, offset``.
+    """Pieces of documents in sequences: ``doc_id, start, length, ids, ids_crc32, doc_tokens, sequence_id, offset``.
+
+    ``ids_crc32`` is that of the ids as 32-bit little-endian numbers.
 
     ``tokenizer`` is the JSON of a tokenizer that drops white space. ``open_windows`` bounds the windows open in a
     partition; a cut leaves at least ``least_cut`` ids in the window it fills. ``fan_in`` partitions are merged in
@@ -160,7 +163,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 4096, open_windows: int =
                 "window", F.coalesce("next", "target").alias("target"), (F.col("shift") + F.coalesce("more", F.lit(0))).alias("shift"))
         sizes = step.where("target_open").join(sizes, "window").groupBy(F.col("target").alias("window"))
         sizes = sizes.agg(F.sum("filled").alias("filled"), F.min("group").alias("group"))
-    out = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
+    out = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     settled = first.where("not open").withColumnRenamed("window", "sequence_id")
     merged = first.where("open").join(moved, "window").withColumnsRenamed({"target": "sequence_id"})
     return settled.select(*out).unionByName(merged.withColumn("offset", F.col("offset") + F.col("shift")).select(*out))
@@ -173,5 +176,7 @@ def _crc(ids: pa.Array) -> pa.Array:
 
 
 def piece_digests(pieces: DataFrame) -> DataFrame:
-    """Length and CRC-32 of the ids in place of the ids."""
-    return pieces.select("doc_id", "start", F.size("ids").cast("long").alias("length"), F.arrow_udf(_crc, "long")("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    """The pieces without their ids, which are read only where their length and CRC-32 are not known."""
+    if "ids_crc32" not in pieces.columns:
+        pieces = pieces.withColumns({"length": F.size("ids").cast("long"), "ids_crc32": F.arrow_udf(_crc, "long")("ids")})
+    return pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

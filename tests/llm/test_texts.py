@@ -180,9 +180,11 @@ def test_disclosure_matches_counts_by_hand(spark, docs, texts):
     import math
 
     def told(e, w):
-        known = math.log2(len(texts) / n_entity[e])
-        bits = known + math.log2(min(1, n_both[e, w] / n_term[w]))
-        return n_both[e, w] >= 2 and n_entity[e] >= 2 and bits >= known / 1.1 and bits >= 6
+        among, share = n_entity[e] / len(texts), min(1, n_both[e, w] / n_term[w])  # of all documents, of those with the term
+        bits = math.log2(share / among)
+        # relative entropy: the probability that chance brings them together so often is at most 2 to the minus of it, per document
+        apart = share * bits + ((1 - share) * math.log2((1 - share) / (1 - among)) if share < 1 else 0)
+        return n_both[e, w] >= 2 and bits >= -math.log2(among) / 1.1 and 0.5 ** (n_term[w] * apart) <= 0.01
 
     by_entity = defaultdict(set)
     for e, w in n_both:
@@ -364,7 +366,8 @@ def test_packing_round_trip(docs, texts):
     for r in rows:
         by_doc[r.doc_id].append((r.start, r.ids))
         by_sequence[r.sequence_id].append((r.offset, len(r.ids)))
-        assert r.ids
+        assert r.ids and r.length == len(r.ids)
+        assert r.ids_crc32 == zlib.crc32(b"".join(x.to_bytes(4, "little") for x in r.ids))
     for i, t in texts.items():
         got = sorted(by_doc[i])
         want = tokenizer.encode(t, add_special_tokens=False).ids + [2]
@@ -424,6 +427,22 @@ def brute_lines(rows, min_docs):
     return {i: "\n".join(x for x in (t or "").split("\n") if not line_key(x) or len(where[line_key(x)]) < min_docs) for i, t in rows.items()}
 
 
+def brute_leaders(rows, min_docs):
+    """Each shared line stays in one document: fewest lines of its own, then most shared, then by key; ids are no key twice."""
+    split = {i: (t or "").split("\n") for i, t in rows.items()}
+    where = defaultdict(set)
+    for i, parts in split.items():
+        for x in parts:
+            if line_key(x):
+                where[line_key(x)].add(i)
+    shared = {x for x, ids in where.items() if len(ids) >= min_docs}
+    lost = {i: sum(line_key(x) in shared for x in parts) for i, parts in split.items()}
+    own = {i: sum(bool(line_key(x)) for x in parts) - lost[i] for i, parts in split.items()}
+    name = {i: hashlib.md5(f"{i}\n{t or ''}".encode()).digest() for i, t in rows.items()}
+    leader = {x: min(where[x], key=lambda i: (own[i], -lost[i], name[i])) for x in shared}
+    return {i: "\n".join(x for x in parts if leader.get(line_key(x), i) == i) for i, parts in split.items()}
+
+
 @pytest.mark.parametrize("min_docs", [2, 10])
 def test_shared_lines_go(docs, texts, min_docs):
     got = lines.drop_lines(docs, lines.line_bitmaps(docs, min_docs=min_docs)).collect()
@@ -437,6 +456,12 @@ def test_a_line_over_many_partitions(spark):
     assert {r.doc_id: r.text for r in lines.drop_lines(df, lines.line_bitmaps(df)).collect()} == brute_lines(rows, 10)
 
 
+@pytest.mark.parametrize("min_docs", [2, 10])
+def test_one_document_keeps_each_shared_line(docs, texts, min_docs):
+    got = lines.drop_lines(docs, lines.line_bitmaps(docs, min_docs=min_docs, keep_first=True)).collect()
+    assert {r.doc_id: r.text for r in got} == brute_leaders(texts, min_docs)
+
+
 def test_first_occurrences_can_stay(spark):
     df = spark.createDataFrame([(i, f"own {i}\nhot") for i in range(500)], "doc_id long, text string").repartition(7)
     got = [r.text for r in lines.drop_lines(df, lines.line_bitmaps(df, keep_first=True)).collect()]

@@ -216,7 +216,7 @@ def test_stages_and_their_rows(spark):
     model = toxicity.train(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet"))
     scored = toxicity.with_scores(spark.read.parquet(f"{SF}/documents.parquet"), model).collect()
     assert texts[0] == {r.doc_id: r.text for r in scored if r.score < 0.5}
-    assert texts[1] == brute.brute_lines(texts[0], 10)
+    assert texts[1] == brute.brute_leaders(texts[0], 10)
     classes = brute.brute_classes(texts[1])
     assert texts[2] == {i: t for i, t in texts[1].items() if classes[i] == i}
     assert texts[3].keys() == texts[2].keys()
