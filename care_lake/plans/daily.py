@@ -15,19 +15,22 @@ from care_lake.plans import checks
 from care_lake.plans.tables import GOLD, SILVER, Lake
 from care_lake.settings import Period
 from care_lake.sources.lookups import read_lookups
+from care_lake.sources.layout import read_bucketed, write_bucketed
 from care_lake.sources.tables import read_table, table_path, write_table
 from care_lake.streaming.ingest import append_flows, finish, ingest_csv_text, read_ingested
 
-# sort columns inside the files, for row group skipping: settings and dates for the tables that are
-# aggregated, the patient for those a report reads one patient from
+# sort columns inside the files, for row group skipping, of tables that are aggregated
 CLUSTER_BY = {
     "encounter": ["care_setting", "start_date"],
     "fact_encounter": ["start_date_key"],
-    "fact_condition": ["patient_id"],
-    "fact_lab_result": ["patient_id"],
-    "fact_medication": ["patient_id"],
-    "patient_timeline": ["patient_id", "event_ts"],
-    "patient_360": ["patient_id"],
+}
+# tables that a report reads one patient from are in buckets of the patient, sorted further by these columns
+PATIENT_BUCKETS = {
+    "fact_condition": ["start_date"],
+    "fact_lab_result": ["result_ts"],
+    "fact_medication": ["start_ts"],
+    "patient_timeline": ["event_ts"],
+    "patient_360": [],
 }
 
 
@@ -58,20 +61,22 @@ def bronze_tables(spark: SparkSession, landing: str, lake: str) -> dict[str, Dat
     return {**raw, **read_lookups(spark, landing)}
 
 
-def build_tables(tables: Lake, spark: SparkSession, root: str) -> tuple[Lake, list[tuple[str, str, int, int]]]:
+def build_tables(tables: Lake, spark: SparkSession, root: str, buckets: int = 32) -> tuple[Lake, list[tuple[str, str, int, int]]]:
     """Write every silver and gold table; each one is read back, so later tables start from files.
 
-    The expectations of a table are counted by the job that writes it.
+    The expectations of a table are counted by the job that writes it. ``buckets`` is the number of buckets of a table that is
+    read by patient; a bucket should fill a file of some 100 MB.
     """
     built, counts = {name: tables[name] for name in tables}, []
     for layer, names in (("silver", SILVER), ("gold", GOLD)):
         for name in names:
             current = Lake(built, tables.period)
-            cluster_by = CLUSTER_BY.get(name, [])
-            find_by = [c for c in cluster_by if c == "patient_id"]
             expected = checks.LAYERS[layer].get(name, {})
             rows, seen = watch(current[name], expected) if expected else (current[name], None)
-            built[name] = write_table(rows, root, layer, name, cluster_by, find_by=find_by)
+            if name in PATIENT_BUCKETS:
+                built[name] = write_bucketed(rows, root, layer, name, "patient_id", buckets, PATIENT_BUCKETS[name])
+            else:
+                built[name] = write_table(rows, root, layer, name, CLUSTER_BY.get(name, []))
             if seen:
                 counts += watched(seen, expected, f"{layer}.{name}")
     return Lake(built, tables.period), counts
@@ -95,6 +100,13 @@ def published(spark: SparkSession, lake: str) -> str:
     return f"{lake}/runs/{runs.agg(F.max_by('run_id', 'published_at')).first()[0]}"
 
 
+def open_published(spark: SparkSession, lake: str, period: Period) -> Lake:
+    """The tables of the newest run that passed all checks, for reports; those read by patient come with their buckets."""
+    root = published(spark, lake)
+    layers = {name: layer for layer, names in (("silver", SILVER), ("gold", GOLD)) for name in names}
+    return Lake({n: (read_bucketed if n in PATIENT_BUCKETS else read_table)(spark, root, layer, n) for n, layer in layers.items()}, period)
+
+
 def run(spark: SparkSession, landing: str, lake: str, period: Period, allowed=fixed.KNOWN_FAILURES) -> Lake:
     """One daily run, in a folder of its own that is published after the checks.
 

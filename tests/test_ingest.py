@@ -167,6 +167,13 @@ def test_daily_run_over_two_loads(spark, tmp_path):
         cols = [c for c in tables[name].columns if c not in ("run_id", "bronze_ingested_at")]
         assert tables[name].select(cols).exceptAll(expected[name].select(cols)).count() == 0, name
     assert spark.read.parquet(f"{daily.published(spark, out)}/gold/patient_360").count() == tables["patient_360"].count()
+    opened = daily.open_published(spark, out, PERIOD)
+    assert set(opened) == {*SILVER, *GOLD} and opened["patient_360"].count() == tables["patient_360"].count()
+    one = tables["patient_timeline"].first().patient_id
+    spark.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    found = opened["patient_timeline"].where(F.col("patient_id") == one)
+    assert "SelectedBucketsCount: 1 out of 32" in found._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.sources.bucketing.autoBucketedScan.enabled")
     results = spark.read.parquet(f"{out}/quality/expectations")
     recounted = {(r.table_name, r.expectation): (r.passed_rows, r.failed_rows) for r in checks.expectation_results(tables).collect()}
     assert {(r.table_name, r.expectation): (r.passed_rows, r.failed_rows) for r in results.collect()} == recounted
