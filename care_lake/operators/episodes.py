@@ -3,7 +3,8 @@
 None of these operators joins every anchor with every event of the same person. They reduce both
 sides to a grid first - one row per person and day, or per person and time bucket - and then use a
 window or a join whose groups are limited by the calendar, not by the number of events. A person
-who owns a third of all rows therefore costs one row per day like everybody else.
+who owns a third of all rows therefore costs one row per day like everybody else. Counts between two
+instants, which no day can hold, come from a range-sorted stream instead.
 """
 
 from __future__ import annotations
@@ -14,9 +15,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from care_lake.operators.dedup import pick_best
+from care_lake.operators.sweep import counted_before
 
 MICROS = 1_000_000
-DAY_MICROS = 86_400 * MICROS
 
 
 def _micros(ts: str) -> Column:
@@ -155,39 +156,22 @@ def count_between(
 ) -> DataFrame:
     """Add the number of events of the same key in [anchor + lo, anchor + hi).
 
-    The count is the difference of two running counts. A running count is the total of the earlier
-    days plus the part of its own day, so no window spans more than one key's days or one day's times.
+    Events and the two bounds of every anchor form one stream, range-sorted by key and time and written. A bound's place
+    among all events, whatever their key, is its place in its range plus the events of the ranges before; the difference of an
+    anchor's two places is its count, since only events of its key lie between. A key that owns most rows, or one day or
+    instant of it, fills as many ranges as its rows need.
     """
-    per_time = (
-        events.filter(F.col(key).isNotNull() & F.col(event_ts).isNotNull())
-        .select(F.col(key).alias("_key"), _micros(event_ts).alias("_x"))
-        .groupBy("_key", "_x")
-        .agg(F.count("*").alias("_n"))
-    )
-    times = anchors.select(F.col(key).alias("_key"), _micros(anchor_ts).alias("_t")).dropna().distinct()
-    bounds = F.array(
-        F.struct((F.col("_t") + seconds[0] * MICROS).alias("_x"), F.lit(-1).alias("_sign")),
-        F.struct((F.col("_t") + seconds[1] * MICROS).alias("_x"), F.lit(1).alias("_sign")),
-    )
+    seen = events.filter(F.col(key).isNotNull() & F.col(event_ts).isNotNull())
+    points = seen.select(F.col(key).alias("_key"), _micros(event_ts).alias("_x"), F.lit(1).alias("_event"))
+    times = anchors.select(F.col(key).alias("_key"), _micros(anchor_ts).alias("_t")).dropna()
+    bounds = F.array(*[
+        F.struct((F.col("_t") + s * MICROS).alias("_x"), F.lit(0).alias("_event"), F.lit(upper).alias("_upper"))
+        for s, upper in zip(seconds, (False, True))
+    ])
     marks = times.select("_key", "_t", F.inline(bounds))
-    points = per_time.unionByName(marks, allowMissingColumns=True).withColumn(
-        "_day", _bucket(F.col("_x"), DAY_MICROS)
-    )
-    earlier_in_day = (
-        Window.partitionBy("_key", "_day").orderBy("_x").rangeBetween(Window.unboundedPreceding, -1)
-    )
-    within = points.withColumn("_within", F.coalesce(F.sum("_n").over(earlier_in_day), F.lit(0)))
-    earlier_days = Window.partitionBy("_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
-    daily = (
-        points.groupBy("_key", "_day")
-        .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_n"))
-        .select("_key", "_day", F.coalesce(F.sum("_n").over(earlier_days), F.lit(0)).alias("_before"))
-    )
-    counted = (
-        within.filter("_t is not null")
-        .join(daily, ["_key", "_day"])
-        .groupBy("_key", "_t")
-        .agg(F.sum(F.col("_sign") * (F.col("_before") + F.col("_within"))).alias("_count"))
+    placed = counted_before(points.unionByName(marks, allowMissingColumns=True), ["_key", "_x", "_event"], "_event", "_place")
+    counted = placed.filter("_t is not null").groupBy("_key", "_t").agg(
+        (F.max(F.when(F.col("_upper"), F.col("_place"))) - F.max(F.when(~F.col("_upper"), F.col("_place")))).alias("_count")
     )
     same = (F.col(key) == F.col("_key")) & (_micros(anchor_ts) == F.col("_t"))
     return (
@@ -197,27 +181,11 @@ def count_between(
     )
 
 
-def active_weight(
-    anchors: DataFrame,
-    periods: DataFrame,
-    weights: DataFrame,
-    *,
-    key: str,
-    anchor_day: str,
-    category: str,
-    start: str,
-    stop: str,
-    weight: str,
+def _weight_changes(
+    periods: DataFrame, weights: DataFrame, key: str, category: str, start: str, stop: str, weight: str,
     overlaps: Sequence[tuple[str, str, int]],
-    out: str,
-) -> DataFrame:
-    """Add the summed weight of the distinct categories active on the anchor day.
-
-    A period counts from its start to its stop, both included; without a stop it is still running.
-    Each (dropped, kept, points) in ``overlaps`` takes points off when both categories are active.
-    Days on which a category becomes active or inactive carry its weight as a change; the score of
-    a day is the running sum of the changes.
-    """
+) -> tuple[DataFrame, list[str], Column]:
+    """Changes per key and day (``_key, _day`` and the named columns), and the score over their running sums."""
     first, last = F.unix_date(start), F.unix_date(stop)
     valid = periods.filter(
         F.col(key).isNotNull() & F.col(category).isNotNull() & F.col(start).isNotNull()
@@ -255,13 +223,53 @@ def active_weight(
         .groupBy("_key", "_day")
         .agg(*[expr.alias(name) for name, expr in changes.items()])
     )
-    grid = daily.unionByName(_day_marks(anchors, key, anchor_day), allowMissingColumns=True)
-    so_far = Window.partitionBy("_key").orderBy("_day").rangeBetween(Window.unboundedPreceding, 0)
-    running = {name: F.coalesce(F.sum(name).over(so_far), F.lit(0)) for name in changes}
     score = F.col("_score")
     for dropped, kept, points in overlaps:
         both = (F.col(f"_active_{tracked.index(dropped)}") > 0) & (F.col(f"_active_{tracked.index(kept)}") > 0)
         score = score - F.when(both, points).otherwise(0)
+    return daily, list(changes), score
+
+
+def weight_by_day(
+    periods: DataFrame, weights: DataFrame, *, key: str, category: str, start: str, stop: str, weight: str,
+    overlaps: Sequence[tuple[str, str, int]], out: str,
+) -> DataFrame:
+    """The summed weight of the active categories as a step function: ``key, day, next_day, out`` from one change to the next.
+
+    Rows of a key meet once, reduced to one per day and category before.
+    """
+    daily, names, score = _weight_changes(periods, weights, key, category, start, stop, weight, overlaps)
+    by_day = Window.partitionBy("_key").orderBy("_day")
+    so_far = by_day.rowsBetween(Window.unboundedPreceding, 0)
+    found = daily.withColumns({name: F.sum(name).over(so_far) for name in names} | {"_next": F.lead("_day").over(by_day)})
+    return found.select(F.col("_key").alias(key), F.col("_day").alias("day"), F.col("_next").alias("next_day"), score.cast("int").alias(out))
+
+
+def active_weight(
+    anchors: DataFrame,
+    periods: DataFrame,
+    weights: DataFrame,
+    *,
+    key: str,
+    anchor_day: str,
+    category: str,
+    start: str,
+    stop: str,
+    weight: str,
+    overlaps: Sequence[tuple[str, str, int]],
+    out: str,
+) -> DataFrame:
+    """Add the summed weight of the distinct categories active on the anchor day.
+
+    A period counts from its start to its stop, both included; without a stop it is still running.
+    Each (dropped, kept, points) in ``overlaps`` takes points off when both categories are active.
+    Days on which a category becomes active or inactive carry its weight as a change; the score of
+    a day is the running sum of the changes.
+    """
+    daily, names, score = _weight_changes(periods, weights, key, category, start, stop, weight, overlaps)
+    grid = daily.unionByName(_day_marks(anchors, key, anchor_day), allowMissingColumns=True)
+    so_far = Window.partitionBy("_key").orderBy("_day").rangeBetween(Window.unboundedPreceding, 0)
+    running = {name: F.coalesce(F.sum(name).over(so_far), F.lit(0)) for name in names}
     found = grid.withColumns(running).filter("_mark").select("_key", "_day", score.alias("_total"))
     joined = _join_day(anchors, found, key, anchor_day)
     return joined.withColumn(out, F.coalesce("_total", F.lit(0)).cast("int")).drop("_total")

@@ -109,12 +109,43 @@ def ordered_distinct_list(df: DataFrame, key: str, position: str, code: str, out
     )
 
 
+LEVELS = 40  # widths of dyadic cells: 1 to 2^39
+
+
+def dyadic_cells(low: Column, high: Column) -> Column:
+    """The aligned cells of widths 1, 2, 4, .. that make up [low, high], at most two of a width, as (level, cell)."""
+
+    def at(level: Column) -> Column:
+        width = F.expr("1L").cast("long")
+        step = F.call_function("shiftleft", width, level)
+        first = F.call_function("shiftright", low + step - 1, level)  # first cell that begins in the range
+        past = F.call_function("shiftright", high + 1, level)  # cell that the end of the range lies in
+        odd = lambda x: x.bitwiseAND(F.lit(1)) == 1
+        cells = F.array(F.when((first < past) & odd(first), first), F.when((first < past) & odd(past), past - 1))
+        return F.transform(F.array_compact(cells), lambda c: F.struct(level.alias("_level"), c.alias("_cell")))
+
+    return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at))
+
+
+def range_pairs(values: DataFrame, ranges: DataFrame, value: str, low: str, high: str) -> DataFrame:
+    """Every value with every range (bounds included) that holds it, by equality of dyadic cells.
+
+    A value lies in one cell of each width, a range is made up of few cells that do not overlap, so each pair is found once.
+    Values and bounds are whole numbers below 2^39 in size.
+    """
+    cells = ranges.filter(F.col(low) <= F.col(high)).select("*", F.inline(dyadic_cells(F.col(low).cast("long"), F.col(high).cast("long"))))
+    of = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda k: F.struct(
+        k.alias("_level"), F.call_function("shiftright", F.col(value).cast("long"), k).alias("_cell")))
+    placed = values.filter(F.col(value).isNotNull()).select("*", F.inline(of))
+    return placed.join(cells, ["_level", "_cell"]).drop("_level", "_cell")
+
+
 def band_lookup(
     df: DataFrame, bands: DataFrame, component: str, value: str, points: str
 ) -> DataFrame:
     """Points of the band (bounds included) a value falls in; NULL outside all bands.
 
-    The bands of one component are joined by range to the distinct values, and the rows to those by equality.
+    The bands of one component meet the distinct values by dyadic cells, and the rows meet those by equality.
     """
     part = bands.filter(F.col("component") == component).select(
         F.col("lower_bound").cast("int").alias("_lo"),
@@ -122,7 +153,7 @@ def band_lookup(
         F.col("points").cast("int").alias(points),
     )
     values = df.select(F.col(value).alias("_value")).distinct()
-    found = values.join(part, F.col("_value").between(F.col("_lo"), F.col("_hi"))).select("_value", points)
+    found = range_pairs(values, part, "_value", "_lo", "_hi").select("_value", points)
     return df.join(found, F.col(value) == F.col("_value"), "left").drop("_value")
 
 

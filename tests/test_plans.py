@@ -70,6 +70,26 @@ def test_only_scales_and_patterns_are_joined_without_an_equality(t):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
+def test_bands_are_met_by_equality(t):
+    inputs = t["fact_index_admission"].select("encounter_id", "length_of_stay_days", "charlson_score", "ed_visits_6_months", "came_through_ed")
+    text = plan(admissions.with_lace(inputs, t["lace_points"]))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
+def test_index_stays_are_swept_once(spark, t):
+    for name in ("encounter", "procedure", "condition", "patient"):
+        t[name]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(admissions.lace_inputs(t, PERIOD))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") <= 12
+    # all windows of the sweep share one shuffle and one sort
+    assert len(re.findall(r"Exchange hashpartitioning\(patient_id#\d+, chunk#", text)) == 1
+    assert len(re.findall(r"Sort \[patient_id#\d+ ASC NULLS FIRST, chunk#", text)) == 1
+
+
 def test_one_patient_is_found_by_filter(t):
     assert "EqualTo(patient_id,12)" in plan(reports.patient_summary(t, "12"))
     assert "EqualTo(patient_id,12)" in plan(reports.patient_labs(t, "12"))
