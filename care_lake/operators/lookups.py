@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_lake.operators.dedup import pick_best
+from care_lake.session import staged
 
 
 def map_code(
@@ -32,15 +33,64 @@ def map_code(
     )
 
 
+GRAM = 3
+SPLIT = r"[^A-Za-z0-9 _,/:;'\"%&=<>@#~-]+"
+
+
+def needed_literals(pattern: Column) -> Column:
+    """A text of at least three characters that each branch of a pattern needs, as an array; empty where none is plain.
+
+    Only branches between bars are told apart. Behind brackets, braces and escapes of classes a pattern may need anything, so
+    patterns with groups, classes or escapes count as not plain. A character before ``?``, ``*`` or ``{`` is not needed.
+    """
+    plain = ~pattern.rlike(r"[(\[\\]") & (F.length(pattern) > 0)
+    no_optional = F.regexp_replace(pattern, r".(?=[?*{])", "^")  # cut where something may be absent
+    without_counts = F.regexp_replace(no_optional, r"\{[^}]*\}", "^")
+    branches = F.split(without_counts, r"\|", -1)
+
+    def longest(branch: Column) -> Column:
+        runs = F.split(branch, SPLIT, -1)
+        return F.reduce(runs, F.lit(""), lambda best, run: F.when(F.length(run) > F.length(best), run).otherwise(best))
+
+    found = F.transform(branches, longest)
+    return F.when(plain & F.forall(found, lambda x: F.length(x) >= GRAM), found).otherwise(F.array().cast("array<string>"))
+
+
+def grams(text: Column) -> Column:
+    """The distinct stretches of three characters of a text."""
+    places = F.when(F.length(text) >= GRAM, F.sequence(F.lit(1), F.length(text) - GRAM + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, F.lit(GRAM))))
+
+
+def matching_pairs(texts: DataFrame, text: str, rules: DataFrame, pattern: str) -> DataFrame:
+    """Every text with every rule whose pattern matches it.
+
+    A pattern that needs a plain text is looked up by one of its stretches of three characters, the one found in the
+    fewest texts; an equality join proposes pairs and the pattern decides. Other patterns meet all texts.
+    """
+    marked = rules.withColumn("_needs", needed_literals(F.col(pattern)))
+    loop = texts.join(marked.filter(F.size("_needs") == 0).drop("_needs"), F.rlike(F.col(text), F.col(pattern)))
+    of_text = texts.select(F.col(text).alias("_text")).distinct().select("_text", F.explode(grams(F.col("_text"))).alias("_gram"))
+    frequency = of_text.groupBy("_gram").agg(F.count("*").alias("_n"))
+    asked = marked.select(F.col(pattern).alias("_pattern"), F.explode("_needs").alias("_literal")).distinct()
+    rarest = asked.select("*", F.explode(grams(F.col("_literal"))).alias("_gram")).join(frequency, "_gram", "left")
+    # a stretch that no text holds has no frequency: its pattern matches nothing
+    rarest = rarest.groupBy("_pattern", "_literal").agg(F.min_by("_gram", F.struct(F.coalesce("_n", F.lit(0)), "_gram")).alias("_gram"))
+    proposed = of_text.join(rarest, "_gram").filter(F.contains(F.col("_text"), F.col("_literal")))
+    proposed = proposed.filter(F.rlike(F.col("_text"), F.col("_pattern"))).select("_text", "_pattern").distinct()
+    by_rule = proposed.join(marked.filter(F.size("_needs") > 0).drop("_needs"), F.col(pattern) == F.col("_pattern")).drop("_pattern")
+    indexed = texts.join(by_rule, F.col(text) == F.col("_text")).drop("_text")
+    return loop.unionByName(indexed)
+
+
 def first_matching_rule(
     df: DataFrame, code: str, text: str, rules: DataFrame, pattern: str, priority: str, cols: Sequence[str]
 ) -> DataFrame:
     """For each code the rule of lowest priority number whose pattern matches one of its texts.
 
-    Works on distinct (code, text) pairs, so the pattern matching does not grow with the rows.
+    Works on distinct (code, text) pairs, so the pattern matching does not grow with the rows. The pairs are written once.
     """
-    pairs = df.select(code, text).distinct()
-    hits = pairs.join(rules, F.rlike(F.col(text), F.col(pattern)))
+    hits = matching_pairs(staged(df.select(code, text).distinct(), "code-texts"), text, rules, pattern)
     best = pick_best(hits, [code], [F.col(priority).cast("int"), F.col(pattern)])
     return best.select(code, *cols)
 
@@ -57,8 +107,12 @@ def map_with_rules(
     priority: str = "priority",
     tag: str = "code_mapping",
 ) -> DataFrame:
-    """Explicit map first, then the first matching description rule; ``tag`` tells which one was used."""
-    by_rule = first_matching_rule(df, code, text, rules, pattern, priority, list(cols))
+    """Explicit map first, then the first matching description rule; ``tag`` tells which one was used.
+
+    Only rows whose code the map does not know ask the rules. ``df`` is read twice.
+    """
+    unmapped = df.join(explicit.select(F.col(explicit_key).alias("_map_key")), F.col(code) == F.col("_map_key"), "left_anti")
+    by_rule = first_matching_rule(unmapped, code, text, rules, pattern, priority, list(cols))
     exact = explicit.select(
         F.col(explicit_key).alias("_map_key"), F.struct(*[F.col(c) for c in cols]).alias("_map")
     )

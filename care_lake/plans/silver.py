@@ -30,6 +30,7 @@ from care_lake.functions.clean import (
 from care_lake.functions.fhir import coding_code, extension_text, jpath, with_doc
 from care_lake.operators.dedup import latest_by, union_sources
 from care_lake.operators.lookups import abnormal_flag, map_code, map_with_rules
+from care_lake.session import staged
 
 Tables = Mapping[str, DataFrame]
 
@@ -213,8 +214,9 @@ def build_condition(t: Tables) -> DataFrame:
 
 def build_procedure(t: Tables) -> DataFrame:
     key = ["PATIENT", "ENCOUNTER", "CODE", "START"]
+    # read twice: for the texts of codes the map does not know, and for the rows
     billed = map_with_rules(
-        latest_by(t["procedures"], key), "CODE", "DESCRIPTION", t["procedure_map"], "snomed_code",
+        staged(latest_by(t["procedures"], key), "procedures"), "CODE", "DESCRIPTION", t["procedure_map"], "snomed_code",
         t["procedure_rules"],
         {
             "cpt_hcpcs": "billing_code",

@@ -144,6 +144,28 @@ def test_long_scales_and_rule_lists(spark):
     assert rows(lookups.first_matching_rule(texts, "code", "text", rules, "pattern", "priority", ["c"]), "code", "c") == [("a", 17), ("b", 5000)]
 
 
+def test_patterns_are_looked_up_by_what_they_need(spark):
+    import re as regex
+
+    patterns = ["^Total", "knee|hip joint", "ab|knee", "colou?rs", "x{3}", "a.cde*f", "(?i)KNEE", "[kx]nee", "\\\\bhip", "hip.*joint$", "", "knee +left", "nee", "ee", "zzz top", "a{2}bcd", "Total|"]
+    texts = ["Total knee", "colors and hip joint", "colour", "abcdf", "a-cdf", "aabcd", "KNEE", "xxx", "xnee", "hip", "", "knee  left", None, "aXcdeeef"]
+    rules = spark.createDataFrame(list(enumerate(patterns)), "id int, pattern string")
+    pairs = lookups.matching_pairs(spark.createDataFrame([(t,) for t in texts], "text string"), "text", rules, "pattern")
+    want = sorted((t, i) for t in texts if t is not None for i, p in enumerate(patterns) if regex.search(p, t))
+    assert sorted((r.text, r.id) for r in pairs.collect()) == want
+    needs = {r.pattern: r.n for r in rules.select("pattern", lookups.needed_literals(F.col("pattern")).alias("n")).collect()}
+    assert needs["knee|hip joint"] == ["knee", "hip joint"] and needs["ab|knee"] == [] and needs["Total|"] == [] and needs["colou?rs"] == ["colo"]
+    assert all(needs[p] == [] for p in ("(?i)KNEE", "[kx]nee", "\\\\bhip", "", "ee", "x{3}"))
+
+
+def test_many_rules_and_texts_need_no_loop(spark):
+    rules = spark.sql("select cast(id as string) as priority, concat('code ', lpad(id * 7919 % 20000, 5, '0'), '.*end') as pattern, id as c from range(20000)")
+    texts = spark.sql("select id as code, concat('some code ', lpad(id % 20000, 5, '0'), if(id % 2 = 0, ' at the end', ' stop')) as text from range(100000)")
+    pairs = lookups.matching_pairs(texts, "text", rules, "pattern")
+    plain = {r.code: r.pattern for r in pairs.select("code", "pattern").collect()}
+    assert len(plain) == 50_000 and all(plain[i] == f"code {i % 20000:05d}.*end" for i in (0, 2, 19998, 99998))
+
+
 def test_rules_match_by_kind_and_pick_first_category(spark):
     stays = spark.sql("select * from values ('s1','E1','r1'),('s2','r1','E1'),('s3','E9','r9') as t(id, ec, rc)")
     items = spark.sql("select * from values ('s3','p1'),('s1','p1'),('zz','p1') as t(id, code)")
