@@ -20,14 +20,16 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from care_lake.llm.common import int_lists, process_cache, slices, with_vocabulary
+from care_lake.llm.common import process_cache, slices
+from care_lake.llm.units import Kept, as_units, gathered, joined, lists_of
 
 BLANK = "▁"
-CUT = re.compile(r" +[^ ]*|[^ ]+")
+TEXT_BYTES = 4 << 20
 
 
 def read_model(path: str) -> bytes:
@@ -53,6 +55,7 @@ class Vocabulary:
         self.ranks = {name: order[score] for name, score in scores.items()}
         self.end = lib.eos_id()
         self.raw = [bytes([self.bytes_of[i]]) if i in self.bytes_of else n.replace(BLANK, " ").encode() for i, n in enumerate(self.names)]
+        self.raw_array = pa.array(self.raw, pa.large_binary())
         self.cuts = not any(re.search(f"[^{BLANK}]{BLANK}|\n", p) for p in self.ids)
 
     def merge(self, text: str) -> list[int]:
@@ -88,20 +91,27 @@ class Vocabulary:
             return ids
         return [i for s in symbols if s for i in ([self.ids[s]] if s in self.ids else [self.byte_ids[b] for b in s.encode()])]
 
-    def parts(self, text: str) -> list[str]:
-        """The text with marked blanks and the blank put before it, cut where no piece can reach across."""
-        if not text:
-            return []
-        text = text.replace(BLANK, " ")
-        if not self.cuts:
-            return [BLANK + text.replace(" ", BLANK)]
-        if "  " not in text and text[0] != " ":  # blanks stand alone: the same cuts, faster
-            return (BLANK + text.replace(" ", f" {BLANK}").replace("\n", " \n ")).split(" ")
-        out = []
-        for i, line in enumerate(text.split("\n")):
-            out += ["\n"] * bool(i)
-            out += [w.replace(" ", BLANK) for w in CUT.findall(line if i else " " + line)]
-        return out
+    def ids_of(self, texts: pa.Array, kept: Kept) -> tuple[np.ndarray, np.ndarray]:
+        """All ids without end ids, and how many there are up to the end of each text.
+
+        Texts are cut before a run of blanks and around line feeds, where no piece can reach across.
+        """
+        texts = pc.replace_substring(pc.fill_null(texts, ""), BLANK, " ")
+        raw, ends = joined(texts)
+        filled = np.diff(ends, prepend=0) > 1  # the blank before a text is put before none that is empty
+        if not filled.all():
+            ids, some = self.ids_of(texts.filter(pa.array(filled)), kept) if filled.any() else (np.zeros(0, np.int32), np.zeros(0, np.int64))
+            return ids, np.append(0, some)[np.cumsum(filled)]
+        cut = np.zeros(len(raw), bool)
+        if self.cuts:
+            blank, feed = raw == 32, raw == 10
+            cut[1:] = blank[1:] & ~blank[:-1] | feed[1:] | feed[:-1]
+        cut[np.append(0, ends[:-1])] = True
+        units = as_units(raw, cut).dictionary_encode()
+        return gathered(lists_of(kept(units.dictionary.to_pylist())), units.indices, np.cumsum(cut)[ends - 1])
+
+    def encode_units(self, units: list[bytes]) -> list[bytes]:
+        return self.encode_new([u.decode().replace(" ", BLANK) for u in units])
 
     def encode_new(self, parts: list[str]) -> list[bytes]:
         """Ids of distinct parts as bytes, each checked against the library."""
@@ -125,11 +135,34 @@ class Vocabulary:
         except UnicodeDecodeError:  # byte pieces that do not make up characters; the library replaces each byte
             return self.library.decode(ids)
 
+    def texts_of(self, lists: pa.ListArray) -> list[str]:
+        """The texts of many lists of ids; null ids and null lists give nothing."""
+        ids = lists.flatten()
+        ends = np.append(0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())).tolist()
+        if ids.null_count:
+            return [self.decode([i for i in ids[a:b].to_pylist() if i is not None]) for a, b in zip(ends, ends[1:])]
+        taken = self.raw_array.take(ids)
+        places = np.frombuffer(taken.buffers()[1], np.int64)[np.array(ends)].tolist()
+        raw, firsts = memoryview(taken.buffers()[2] or b""), ids.to_numpy()
+        out = []
+        for a, b, start, end in zip(ends, ends[1:], places, places[1:]):
+            first = firsts[a] if a < b else -1
+            if first < 0 or not self.raw[first]:  # nothing, or a control id first
+                out.append(self.decode(ids[a:b].to_pylist()))
+                continue
+            start += first not in self.bytes_of and self.names[first][0] == BLANK
+            try:
+                out.append(str(raw[start:end], "utf-8"))
+            except UnicodeDecodeError:
+                out.append(self.library.decode(ids[a:b].to_pylist()))
+        return out
+
 
 def _vocabulary(model: bytes) -> Vocabulary:
     held = process_cache("pieces", model)
     if not held:
-        held.update(vocabulary=Vocabulary(model), parts={})
+        vocabulary = Vocabulary(model)
+        held.update(vocabulary=vocabulary, kept=Kept(vocabulary.encode_units, 250_000))
     return held["vocabulary"]
 
 
@@ -149,12 +182,12 @@ def encode(docs: DataFrame, model: bytes, text_col: str = "text", ids_col: str =
     """Add the ids of every text, with the end id last. A column named ``ids_col`` is replaced."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(model)
-        end, cache = vocabulary.end.to_bytes(4, "little"), process_cache("pieces", model)["parts"]
-        for batch in slices(batches, text_col):
-            texts = [vocabulary.parts(t or "") for t in batch.column(text_col).to_pylist()]
-            ids_of = with_vocabulary(cache, set().union(*texts), vocabulary.encode_new, 400_000).__getitem__
-            yield _appended(batch, ids_col, int_lists([b"".join(map(ids_of, parts)) + end for parts in texts]))
+        vocabulary, kept = _vocabulary(model), process_cache("pieces", model)["kept"]
+        for batch in slices(batches, text_col, TEXT_BYTES):
+            ids, ends = vocabulary.ids_of(batch.column(text_col), kept)
+            offsets = np.append(0, ends + np.arange(1, len(ends) + 1)).astype(np.int32)
+            values = np.insert(ids, ends, vocabulary.end).astype(np.int32)  # the end id behind each text
+            yield _appended(batch, ids_col, pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
 
     return docs.mapInArrow(run, with_schema(docs, ids_col, T.ArrayType(T.IntegerType())))
 
@@ -165,12 +198,8 @@ def decode(docs: DataFrame, model: bytes, ids_col: str = "ids", text_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = _vocabulary(model)
         for batch in batches:
-            for start in range(0, batch.num_rows, 200):
-                piece = batch.slice(start, 200)
-                column = piece.column(ids_col)
-                values = column.flatten().to_pylist() if column.flatten().null_count else column.flatten().to_numpy().tolist()
-                ends = np.cumsum(pa.compute.list_value_length(column).fill_null(0).to_numpy()).tolist()
-                texts = [vocabulary.decode([i for i in values[a:b] if i is not None]) for a, b in zip([0, *ends], ends)]
-                yield _appended(piece, text_col, pa.array(texts, pa.string()))
+            for start in range(0, batch.num_rows, 1000):
+                piece = batch.slice(start, 1000)
+                yield _appended(piece, text_col, pa.array(vocabulary.texts_of(piece.column(ids_col)), pa.string()))
 
     return docs.mapInArrow(run, with_schema(docs, text_col, T.StringType()))

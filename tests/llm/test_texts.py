@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from care_lake.llm import lines, minhash, packing, pieces, pii, queries, secrets, sharding
+from care_lake.llm.units import Kept
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, hash int, label int, spans string, part int, at int, score string, ids string, n int, _row int"
 LONG = "longtext " * 30_000
@@ -235,11 +237,18 @@ def model():
 
 def test_agenda_matches_the_library(model):
     vocabulary, library, rng = pieces.Vocabulary(model), sentencepiece.SentencePieceProcessor(model_proto=model), random.Random(1)
-    for _ in range(5_000):
-        t = "".join(rng.choice(" \n\t▁ab<0x>éß　𝄞́\x00 the") for _ in range(rng.randint(0, 14)))
-        own = [i for p in vocabulary.parts(t) for i in vocabulary.merge(p)]
-        assert own == library.encode(t)
-        assert vocabulary.decode(own + [2]) == library.decode(own + [2])
+    kept = Kept(vocabulary.encode_units, 500)
+    texts = ["".join(rng.choice(" \n\t▁ab<0x>éß　𝄞́\x00 the") for _ in range(rng.randint(0, 14))) for _ in range(5_000)]
+    for size in (1, 7, 1000):
+        for at in range(0, len(texts) if size > 1 else 500, size):
+            some = texts[at:at + size]
+            ids, ends = vocabulary.ids_of(pa.array(some, pa.string()), kept)
+            own = [ids[x:y].tolist() for x, y in zip([0, *ends], ends)]
+            assert own == library.encode(some)
+            lists = [o + [vocabulary.end] for o in own] + [rng.sample(range(32000), 5), [2, 300], [], None, [261, None, 300]]
+            want = [library.decode([i for i in x or [] if i is not None]) for x in lists]
+            assert vocabulary.texts_of(pa.array(lists, pa.list_(pa.int32()))) == want
+            assert vocabulary.texts_of(pa.array(lists[:-1], pa.list_(pa.int32()))) == want[:-1]
 
 
 def test_pieces_of_documents(docs, texts, model):
