@@ -47,21 +47,61 @@ ALPHABETS = {
 }
 KINDS = ("assign", "access", "hex", "random")
 BINS = 20
+SCAN_BLOCK = 256  # items of a block of running results
 HALVINGS = 40  # bins below 0.5 / BINS, numbered -1, -2, ... towards 0
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scan(items: Column, zero: int, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running result of an associative ``combine`` after each item.
+
+    A fold copies what it holds at every step, so blocks are folded on their own and then meet the result of the blocks before them.
+    """
+    def running(block: Column) -> Column:
+        first = F.array(F.lit(zero))
+        return F.aggregate(block, first, lambda held, x: F.array_append(held, combine(F.element_at(held, -1), x)))
+
+    def joined(inner: Column) -> Column:
+        before = F.slice(running(F.transform(inner, lambda block: F.element_at(block, -1))), F.lit(1), F.size(inner))
+        return F.flatten(F.zip_with(inner, before, lambda block, held: F.transform(F.slice(block, F.lit(2), F.size(block) - 1), lambda x: combine(held, x))))
+
+    def blocks(all_items: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(all_items), F.lit(1)), F.lit(SCAN_BLOCK))
+        return F.transform(starts, lambda i: running(F.slice(all_items, i, F.lit(SCAN_BLOCK))))
+
+    return bound(items, lambda own: bound(blocks(own), joined))
+
+
 def located(found: Column, parts: Column) -> Column:
     """``start`` and ``end`` in code points of every match, from the matches and the text between them."""
-    gaps, sizes = F.transform(parts, F.length), F.transform(found, F.length)
+    steps = F.zip_with(found, F.slice(parts, F.lit(1), F.size(found)), lambda value, gap: F.length(gap) + F.length(value))
+    ends = scan(steps, 0, lambda a, b: a + b)
+
+    def one(end: Column, value: Column) -> Column:
+        return F.struct((end - F.length(value)).alias("start"), end.alias("end"), value.alias("value"))
+
+    return F.zip_with(ends, found, one)
+
 
-    def total(of: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(of, F.lit(1), n), F.lit(0), lambda a, x: a + x)
+def outside(spans: Column, known: Column) -> Column:
+    """The spans that meet none of the known ones, in order: both lists are merged and read once in each direction."""
+    def event(of: Column, is_known: bool) -> Column:
+        return F.transform(of, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(is_known).alias("known"), s["value"].alias("value")))
 
-    def one(value: Column, i: Column) -> Column:
-        start = total(gaps, i + 1) + total(sizes, i)
-        return F.struct(start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"))
+    def kept(events: Column) -> Column:
+        ended = scan(F.transform(events, lambda e: F.when(e["known"], e["end"]).otherwise(0)), 0, F.greatest)
+        started = F.transform(F.reverse(events), lambda e: F.when(e["known"], e["start"]).otherwise(2**31 - 1))
+        begins = F.reverse(scan(started, 2**31 - 1, F.least))
+        free = F.zip_with(ended, begins, lambda a, b: F.struct(a.alias("from"), b.alias("to")))
+        both = F.zip_with(events, free, lambda e, f: F.struct(e.alias("e"), (~e["known"] & (f["from"] <= e["start"]) & (e["end"] <= f["to"])).alias("free")))
+        return F.transform(F.filter(both, lambda x: x["free"]), lambda x: F.struct(*[x["e"][c].alias(c) for c in ("start", "end", "value")]))
 
-    return F.transform(found, one)
+    merged = F.array_sort(F.concat(event(spans, False), event(known, True)))
+    return F.when((F.size(spans) == 0) | (F.size(known) == 0), spans).otherwise(bound(merged, kept))
 
 
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
@@ -72,11 +112,6 @@ def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
     return df.withColumn(name, F.coalesce(spans, empty)).drop("found", "parts")
 
 
-def bound(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value computed once however often it is used."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def two_sided(z: Column) -> Column:
     """Chance of a standard normal value at least as far from 0 (polynomial of Abramowitz and Stegun 7.1.26)."""
 
@@ -206,7 +241,7 @@ def find_secrets(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...]
     df = df.withColumn("assign", long_enough).drop("text")
     known = F.concat("assign", "access", "hex")
     mixed = F.filter("random", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
-    df = df.withColumn("random", F.filter(mixed, lambda s: ~F.exists(known, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))))
+    df = df.withColumn("mixed", mixed).withColumn("known", known).withColumn("random", outside(F.col("mixed"), F.col("known")))
     df = df.select("carried", *[_without_values(F.col(c)).alias(c) for c in KINDS[:3]], F.transform("random", _tested).alias("random"))
     found = staged(df, "secrets")
     bins = found.select(F.explode("random").alias("r")).select("r.class", bin_of(F.col("r.p")).alias("bin"))

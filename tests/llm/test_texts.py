@@ -1,6 +1,7 @@
 """Operators on documents against brute force, and their defined cases."""
 
 import hashlib
+import itertools
 import math
 import random
 import re
@@ -82,6 +83,48 @@ def test_random_strings_are_told_from_words(spark):
     assert sum(bool(got[i]) for i in text) <= 10
 
 
+def test_random_strings_of_each_encoding_and_length_are_found(spark):
+    rng = random.Random(11)
+    rows, truth = [], {}
+    for name, (_, letters) in secrets.ALPHABETS.items():
+        letters = letters[:10] + "ABCDEF" if name == "hex" else letters  # long lowercase hex is a kind of its own
+        for size in (24, 48, 100):
+            for _ in range(200):
+                truth[len(rows)] = (name, size)
+                rows.append("key " + "".join(rng.choice(letters) for _ in range(size - 2)) + ("a7" if name == "base36" else "A7"))
+            rows += [f"see entry-of-the-catalogue-{i}-" + "part-" * (size // 8) + "end" for i in range(100)]
+    got = dict(found_secrets(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")))
+    found = Counter(kind for i, kind in truth.items() if got[i])
+    assert {kind: n for kind, n in found.items() if n < 180} == {} and len(found) == 15
+    assert sum(bool(got[i]) for i in range(len(rows)) if i not in truth) <= 0.05 * len(rows)
+
+
+def test_spans_outside_of_others_match_brute_force(spark):
+    rng = random.Random(12)
+
+    def spans(n, most):
+        starts = sorted(rng.sample(range(4000), n))
+        return [(a, min([a + rng.randint(1, most), *starts[i + 1 : i + 2]]), "v") for i, a in enumerate(starts)]
+
+    rows = [(i, spans(rng.choice([0, 3, 300, 700]), 30), spans(rng.choice([0, 2, 200]), 9) + spans(rng.choice([0, 1, 20]), 400)) for i in range(40)]
+    kind = "array<struct<start: int, end: int, value: string>>"
+    got = spark.createDataFrame(rows, f"i int, a {kind}, b {kind}").select("i", secrets.outside(F.col("a"), F.col("b")).alias("free")).collect()
+    assert {r.i: [tuple(s) for s in r.free] for r in got} == {i: [s for s in a if all(s[1] <= t[0] or t[1] <= s[0] for t in b)] for i, a, b in rows}
+
+
+def test_running_results_cross_blocks(spark):
+    sizes = [0, 1, 255, 256, 257, 1000]
+    got = spark.createDataFrame([(n, list(range(n))) for n in sizes], "n int, a array<int>").select("n", secrets.scan(F.col("a"), 0, lambda a, b: a + b).alias("s")).collect()
+    assert {r.n: r.s for r in got} == {n: list(itertools.accumulate(range(n))) for n in sizes}
+
+
+def test_a_text_of_100_000_secrets(spark):
+    rng = random.Random(13)
+    text = " ".join("%032x" % rng.getrandbits(128) if i % 2 else f"token=é{i}x password: {i:09d}ab" for i in range(100_000))
+    [(_, spans)] = found_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert [s for s in spans if s[1] < 3] == base_secrets(text)
+
+
 def test_threshold_of_an_even_and_a_mixed_class():
     even = [("a", i, 10) for i in range(20)]
     assert secrets.accepted_from(even, 0.05) == {"a": 0.0}
