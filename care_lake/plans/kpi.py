@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_lake.functions.calendar import date_key, month_of
+from care_lake.operators.distinct import presence
 from care_lake.operators.intervals import active_per_month
 from care_lake.operators.lookups import map_code
 from care_lake.settings import ACTIVE_MONTHS, Period
@@ -87,3 +88,9 @@ def build_kpi_active_patients_monthly(t: Tables, period: Period) -> DataFrame:
         lookback=ACTIVE_MONTHS, period=period, out="active_patients",
     )
     return monthly.select("month_start", date_key("month_start").alias("month_date_key"), "active_patients")
+
+
+def build_patients_seen_monthly(t: Tables, period: Period) -> DataFrame:
+    """Who was seen per visit month, facility and payer, of all visits. Numbers of patients hold within one build."""
+    visits = t["fact_encounter"].withColumn("month_date_key", date_key(month_of(F.to_date("start_ts"))))
+    return presence(visits, ["month_date_key", "facility_id", "payer_id"], "patient_id")

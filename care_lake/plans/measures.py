@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from care_lake.fixed import READMISSION_BENCHMARK
+from care_lake.operators.distinct import distinct_keys, united
 
 Tables = Mapping[str, DataFrame]
 
@@ -52,6 +53,13 @@ RELATIONSHIPS: dict[str, dict[str, tuple[str, str]]] = {
     "care_management_worklist": {"dim_patient": PATIENT},
 }
 
+# distinct column of a table -> cube that holds its bitmaps; of dates it knows months and what is made of them
+DISTINCT_CUBES = {("fact_encounter", "patient_id"): "patients_seen_monthly"}
+MONTH_FIELDS = {"year", "quarter", "year_quarter", "month", "month_name", "month_start", "year_month"}
+JOINS = RELATIONSHIPS | {
+    "patients_seen_monthly": {"dim_facility": FACILITY, "dim_payer": PAYER, "dim_date": _date("month_date_key")},
+}
+
 
 @dataclass(frozen=True)
 class Base:
@@ -163,7 +171,7 @@ def _split(field: str) -> tuple[str, str]:
 
 def _reaches(field: str, table: str) -> bool:
     owner, _ = _split(field)
-    return owner == table or owner in RELATIONSHIPS.get(table, {})
+    return owner == table or owner in JOINS.get(table, {})
 
 
 def _key_name(field: str) -> str:
@@ -180,7 +188,7 @@ def _add_fields(rows: DataFrame, t: Tables, table: str, fields: Sequence[str]) -
     """Add columns of related dimensions under their key names."""
     out = rows
     for dim in sorted({_split(f)[0] for f in fields}):
-        fact_key, dim_key = RELATIONSHIPS[table][dim]
+        fact_key, dim_key = JOINS[table][dim]
         cols = [F.col(_split(f)[1]).alias(_key_name(f)) for f in fields if _split(f)[0] == dim]
         right = t[dim].select(F.col(dim_key).alias("_dim_key"), *cols)
         out = out.join(right, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
@@ -191,17 +199,8 @@ def _matches(column: Column, value: object) -> Column:
     return column.isin(list(value) if isinstance(value, (list, tuple, set)) else [value])
 
 
-def _aggregate(
-    t: Tables, table: str, members: Sequence[str], by: Sequence[str], filters: Mapping[str, object],
-    only_in: tuple[str, str, str] | None,
-) -> DataFrame:
-    """Measures of one table per group, under the key names of their fields.
-
-    Filters come first: a filtered dimension is cut to its matching keys, and rows without such a key are left
-    out as the table is read. The other rows are added up per combination of their own keys; only those few
-    combinations meet the dimensions that groups are named by.
-    """
-    bases = {n: MEASURES[n] for n in members}
+def _filtered(t: Tables, table: str, filters: Mapping[str, object], only_in: tuple[str, str, str] | None = None) -> DataFrame:
+    """Rows of a table that the filters leave; a filtered dimension is cut to its matching keys first."""
     applied = {f: v for f, v in filters.items() if _reaches(f, table)}
     rows = t[table]
     for field, value in applied.items():
@@ -211,15 +210,47 @@ def _aggregate(
         other, key, condition = only_in
         rows = rows.join(t[other].filter(condition).select(key), key, "left_semi")
     for dim in dict.fromkeys(_split(f)[0] for f in applied if _split(f)[0] != table):
-        fact_key, dim_key = RELATIONSHIPS[table][dim]
+        fact_key, dim_key = JOINS[table][dim]
         members_of = t[dim]
         for field, value in applied.items():
             if _split(field)[0] == dim:
                 members_of = members_of.filter(_matches(F.col(_split(field)[1]), value))
         rows = rows.join(members_of.select(F.col(dim_key).alias("_dim_key")), F.col(fact_key) == F.col("_dim_key"), "left_semi")
+    return rows
+
+
+def _cube_of(base: Base, t: Tables, fields: Sequence[str]) -> str | None:
+    """The cube that answers a distinct count for all fields that reach its table, if there is one."""
+    cube = DISTINCT_CUBES.get((base.table, base.column)) if base.kind == "distinct" and not base.only_in else None
+    if cube is None:
+        return None
+    reached = [_split(f) for f in fields if _reaches(f, base.table)]
+    known = all(owner in JOINS[cube] and (owner != "dim_date" or column in MONTH_FIELDS) for owner, column in reached)
+    return cube if known and cube in t else None
+
+
+def _from_cube(t: Tables, cube: str, name: str, by: Sequence[str], filters: Mapping[str, object]) -> DataFrame:
+    """A distinct count from the bitmaps of a cube: cells are united per key before dimensions name them."""
+    keys = list(dict.fromkeys(JOINS[cube][_split(f)[0]][0] for f in by))
+    named = _add_fields(united(_filtered(t, cube, filters), keys), t, cube, by)
+    return distinct_keys(named, [_key_name(f) for f in by], name)
+
+
+def _aggregate(
+    t: Tables, table: str, members: Sequence[str], by: Sequence[str], filters: Mapping[str, object],
+    only_in: tuple[str, str, str] | None,
+) -> DataFrame:
+    """Measures of one table per group, under the key names of their fields.
+
+    Filters come first: a filtered dimension is cut to its matching keys, and rows without such a key are left
+    out as the table is read. The other rows are added up per combination of their own keys; only those few
+    combinations meet the dimensions that groups are named by.
+    """
+    bases = {n: MEASURES[n] for n in members}
+    rows = _filtered(t, table, filters, only_in)
     own = [f for f in by if _split(f)[0] == table]
     foreign = [f for f in by if _split(f)[0] != table]
-    keys = dict.fromkeys([RELATIONSHIPS[table][_split(f)[0]][0] for f in foreign])
+    keys = dict.fromkeys([JOINS[table][_split(f)[0]][0] for f in foreign])
     counted = dict.fromkeys(b.column for b in bases.values() if b.kind == "distinct")
     keys |= counted
     own_keys = [F.col(_split(f)[1]).alias(_key_name(f)) for f in own]
@@ -241,7 +272,9 @@ def _base_frames(
     out = []
     for (table, only_in, _), members in groups.items():
         fields = [f for f in by if _reaches(f, table)]
-        out.append(([_key_name(f) for f in fields], _aggregate(t, table, members, fields, filters, only_in)))
+        cube = _cube_of(MEASURES[members[0]], t, [*by, *filters]) if len(members) == 1 else None
+        rows = _from_cube(t, cube, members[0], fields, filters) if cube else _aggregate(t, table, members, fields, filters, only_in)
+        out.append(([_key_name(f) for f in fields], rows))
     return out
 
 

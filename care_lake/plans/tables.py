@@ -28,6 +28,7 @@ GOLD: dict[str, Callable[[Mapping[str, DataFrame], Period], DataFrame]] = {
     "fact_index_admission": admissions.build_fact_index_admission,
     "kpi_monthly": kpi.build_kpi_monthly,
     "kpi_active_patients_monthly": kpi.build_kpi_active_patients_monthly,
+    "patients_seen_monthly": kpi.build_patients_seen_monthly,
     "patient_360": patient.build_patient_360,
     "patient_timeline": patient.build_patient_timeline,
     "care_management_worklist": patient.build_care_management_worklist,

@@ -69,6 +69,13 @@ measure_query(
     "patients_seen", [YEAR],
     "SELECT year, patients AS patients_seen FROM x_encounter_year",
 )
+measure_query("patients_seen", [FACILITY, QUARTER], """
+SELECT facility_name, year(start_ts) || '-Q' || quarter(start_ts) AS year_quarter, count(DISTINCT patient_id) AS patients_seen
+FROM x_fact_encounter LEFT JOIN x_dim_facility USING (facility_id) GROUP BY ALL""", key="m_patients_seen_by_facility_and_quarter")
+measure_query("patients_seen", ["dim_payer.payer_category"], """
+SELECT payer_category, count(DISTINCT patient_id) AS patients_seen
+FROM x_fact_encounter LEFT JOIN x_payer USING (payer_id) WHERE year(start_ts) IN (1997, 1998) GROUP BY ALL""",
+              filters={YEAR: [1997, 1998]}, key="m_patients_seen_of_two_years_by_payer")
 measure_query("high_utilizers", [], """
 SELECT nullif(count(*), 0) AS high_utilizers FROM x_patient_360 WHERE is_high_utilizer AND NOT is_deceased""")
 measure_query("high_utilizers", [], """
