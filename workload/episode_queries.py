@@ -245,9 +245,8 @@ def r12(spark, sf_dir):
 
 
 @query("k01_cube_records", f"""
-SELECT CAST(month_start AS VARCHAR) AS month_start, CAST(coalesce(sum(admissions), 0) AS BIGINT) AS admissions,
-  CAST(coalesce(sum(discharges), 0) AS BIGINT) AS discharges,
-  CAST(coalesce(sum(index_admissions), 0) AS BIGINT) AS index_admissions, count(*) AS records
+SELECT CAST(month_start AS VARCHAR) AS month_start, count(*) FILTER (what = 'start' AND care_setting = 'Inpatient') AS admissions,
+  count(*) FILTER (what = 'end') AS discharges, count(*) FILTER (what = 'index') AS index_admissions, count(*) AS records
 FROM x_kpi_record WHERE month_start BETWEEN {START} AND {AS_OF} GROUP BY month_start""")
 def k01(spark, sf_dir):
     t = lake(spark, sf_dir)
