@@ -1,6 +1,8 @@
 """Picking rows, lookups, scores and intervals on small hand-made cases."""
 
+import random
 from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -287,3 +289,50 @@ def test_member_month_rules(spark):
         ("dead", 20200101, "med"), ("dead", 20200201, "med"),
         ("two", 20200101, "med"), ("two", 20200201, "com"), ("two", 20200301, "com"),
     ]
+
+
+def brute_tiers(values, cuts, lowest):
+    """Percent rank by counting the higher values of each; NaN is the highest, NULL the lowest."""
+    def place(v):
+        return (0, 0.0) if v is None else (2, 0.0) if v != v else (1, v)
+
+    tiers = []
+    for v in values:
+        above = sum(place(w) > place(v) for w in values)
+        rank = above / (len(values) - 1) if len(values) > 1 else 0.0
+        tiers.append(next((label for label, cut in cuts if rank < cut), lowest))
+    return tiers
+
+
+NAN, INF = float("nan"), float("inf")
+SCORES = {
+    "ties": ("int", [1, 2, 2, 2, 3, 3, 9, 9, None, None]),
+    "one": ("int", [7]), "one missing": ("int", [None]), "all missing": ("double", [None] * 7), "all alike": ("bigint", [5] * 50),
+    "far apart": ("double", [10.0 ** k for k in range(-300, 308, 4)] + [-(10.0 ** k) for k in range(-300, 308, 5)]),
+    "not finite": ("double", [NAN, NAN, INF, INF, -INF, 1.0, 2.0, None, -INF, 0.0, -0.0] * 4), "never finite": ("double", [NAN, INF, -INF, None] * 5),
+    "tiny": ("double", [5e-324 * k for k in range(40)]), "huge integers": ("bigint", [2**63 - 1 - k for k in range(30)] + [-(2**63) + k for k in range(30)]),
+    "decimals": ("decimal(20,6)", [Decimal(k * k) / 1000 for k in range(300)]), "single": ("float", [0.1 * k for k in range(200)]),
+}
+
+
+@pytest.mark.parametrize("name", SCORES)
+def test_tiers_match_percent_rank_by_counting(spark, name):
+    cuts = (("None", 0.0), ("High", 0.1), ("Medium", 0.3), ("Most", 0.95))
+    kind, values = SCORES[name]
+    df = spark.createDataFrame([(i, None if v is None else str(v) if kind.startswith("decimal") else v) for i, v in enumerate(values)],
+                               f"id int, s {'string' if kind.startswith('decimal') else kind}").withColumn("s", F.col("s").cast(kind))
+    exact = [r.s for r in df.orderBy("id").collect()]
+    tiered = score.percentile_tier(df, "s", cuts, "Low", "tier")
+    assert [r.tier for r in tiered.orderBy("id").collect()] == brute_tiers(exact, cuts, "Low")
+
+
+def test_values_at_places_take_no_sort(spark):
+    rng = random.Random(3)
+    values = [rng.lognormvariate(0, 9) for _ in range(20_000)]
+    df = spark.createDataFrame([(v,) for v in values], "s double")
+    counts = df.groupBy("s").agg(F.count("*").alias("n"))
+    places = [0, 1, 17, 1999, 10_000, 19_999, 20_000]
+    ordered = sorted(values, reverse=True)
+    assert score.values_at(counts, "s", "n", places, bins=16) == [ordered[p] if p < len(ordered) else None for p in places]
+    text = score.percentile_tier(df, "s", (("High", 0.1),), "Low", "t")._jdf.queryExecution().toString()
+    assert "Sort" not in text and "Exchange" not in text and "Window" not in text
