@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from care_lake import fixed
 from care_lake.operators.quality import GateError, watch, watched
@@ -17,7 +20,7 @@ from care_lake.settings import Period
 from care_lake.sources.lookups import read_lookups
 from care_lake.sources.layout import read_bucketed, write_bucketed
 from care_lake.sources.tables import read_table, table_path, write_table
-from care_lake.streaming.ingest import append_flows, finish, ingest_csv_text, read_ingested
+from care_lake.streaming.ingest import append_flows, finish, ingest_csv_text, read_ingested, start_all
 
 # sort columns inside the files, for row group skipping, of tables that are aggregated
 CLUSTER_BY = {
@@ -36,17 +39,21 @@ PATIENT_BUCKETS = {
 
 def load_bronze(spark: SparkSession, landing: str, lake: str, csv_tables=fixed.CSV_TABLES) -> None:
     """Load what is new in the landing folders. All flows run side by side; tables that did not land are named."""
-    flows, missing = [], []
-    for name in csv_tables:
-        try:
-            flows.append(ingest_csv_text(
-                spark, f"{landing}/{fixed.CSV_ROOT}/{name}", f"{lake}/_checkpoints/{name}", table_path(lake, "bronze", name),
-            ))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            missing.append(name)
-    finish(flows)
+    missing = []
+
+    def starts() -> Iterator[Callable[[], StreamingQuery]]:
+        for name in csv_tables:
+            folder = f"{landing}/{fixed.CSV_ROOT}/{name}"
+            try:
+                spark.read.text(folder)
+            except AnalysisException as e:
+                if e.getCondition() != "PATH_NOT_FOUND":
+                    raise
+                missing.append(name)
+            else:
+                yield partial(ingest_csv_text, spark, folder, f"{lake}/_checkpoints/{name}", table_path(lake, "bronze", name))
+
+    finish(start_all(starts()))
     if missing:
         raise GateError(f"tables that did not land: {', '.join(missing)}")
     append_flows(

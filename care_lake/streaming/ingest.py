@@ -7,8 +7,8 @@ never doubles rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -55,6 +55,22 @@ def finish(queries: Sequence[StreamingQuery]) -> None:
         raise failures[0]
 
 
+def start_all(starts: Iterable[Callable[[], StreamingQuery]]) -> list[StreamingQuery]:
+    """Start flows one after the other. If one cannot start, those that run are stopped before its error is raised.
+
+    A stopped flow repeats its open batch at the next run, so nothing is lost or doubled.
+    """
+    running: list[StreamingQuery] = []
+    try:
+        for start in starts:
+            running.append(start())
+    except Exception:
+        for q in running:
+            q.stop()
+        raise
+    return running
+
+
 def read_lines(spark: SparkSession, path: str, glob: str, files_per_batch: int) -> DataFrame:
     return (
         spark.readStream.schema(LINE)
@@ -83,9 +99,9 @@ def ingest_ndjson(spark: SparkSession, path: str, system: str, checkpoint: str,
 
 def append_flows(spark: SparkSession, sources: Mapping[str, str], checkpoint_root: str, out: str) -> None:
     """Several sources into one table; each flow has a checkpoint of its own and all run side by side."""
-    finish([
-        ingest_ndjson(spark, path, system, f"{checkpoint_root}/{system}", out) for system, path in sources.items()
-    ])
+    finish(start_all(
+        partial(ingest_ndjson, spark, path, system, f"{checkpoint_root}/{system}", out) for system, path in sources.items()
+    ))
 
 
 def header_names(line: Column) -> Column:

@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import AnalysisException, StreamingQueryException
 from pyspark.sql import functions as F
 
 from care_lake import fixed
@@ -110,6 +110,17 @@ def test_two_flows_feed_one_table(spark, tmp_path):
     assert got.filter("resource_type = 'Patient'").first().raw == line
 
 
+def test_flows_stop_when_one_of_them_cannot_start(spark, tmp_path):
+    put(tmp_path / "a/run_id=y/Patient.ndjson", "{}\n")
+    sources = {"sys_a": str(tmp_path / "a"), "sys_b": str(tmp_path / "nowhere")}
+    with pytest.raises(AnalysisException):
+        ingest.append_flows(spark, sources, str(tmp_path / "c"), str(tmp_path / "out"))
+    assert not spark.streams.active
+    (tmp_path / "nowhere").mkdir()
+    ingest.append_flows(spark, sources, str(tmp_path / "c"), str(tmp_path / "out"))
+    assert ingest.read_ingested(spark, str(tmp_path / "out")).count() == 1
+
+
 def test_profile(spark, tmp_path):
     put(tmp_path / "p/x.csv", "a\nb\n")
     put(tmp_path / "p/sub/y.csv", "abc\n")
