@@ -41,6 +41,30 @@ def test_curve_deals_the_bits_in_turn(spark):
     assert df.select(layout.curve_place([F.col("a"), F.col("b")], bits=3)).first()[0] == 0b100111
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 8, 63])
+def test_share_is_the_number_of_cuts_at_or_below(spark, n):
+    cuts = [3 * i - n for i in range(n)]
+    values = [None, *range(-70, 140)]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    found = [r[0] for r in df.coalesce(1).select(layout.share_of(F.col("v"), cuts)).collect()]
+    assert found == [0 if v is None else sum(c <= v for c in cuts) for v in values]
+
+
+def test_place_of_a_text_is_worked_out_once_a_row(spark):
+    df = spark.createDataFrame([(f"{i:03d}", i) for i in range(300)], "name string, n int")
+    text = layout.placed(df, ["name", "n"])._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("conv(") == 1
+
+
+def test_bounds_of_files_are_found_without_a_sort(spark, clustered):
+    root, rows = clustered
+    both = rows.select("o_orderpriority", "day")
+    assert "SortAggregate" not in plan(layout.file_bounds(both, both.columns))
+    want = both.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.count("*"), F.min("o_orderpriority"), F.max("o_orderpriority"), F.min("day"), F.max("day"), F.lit(0), F.lit(0))
+    assert sorted(layout.file_bounds(both, both.columns).collect()) == sorted(want.collect())
+
+
 def test_each_column_opens_few_files(spark, orders, clustered):
     root, rows = clustered
     assert rows.count() == orders.count()
