@@ -8,7 +8,8 @@ from care_lake.operators.dedup import latest_by
 from care_lake.operators.lookups import map_code
 from care_lake.plans import admissions, gold, patient, reports
 from care_lake.plans.measures import measure
-from workload.standin import PERIOD, lake, read
+from care_lake.plans.tables import VIEWS, StagedLake
+from workload.standin import PERIOD, RawTables, lake, read
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,6 +29,17 @@ def test_facts_need_no_shuffle(t):
         assert "Exchange" not in plan(build(t, PERIOD))
 
 
+def test_tables_that_only_rename_columns_are_not_written_again(spark):
+    own = StagedLake(RawTables(spark, SF), PERIOD)
+    read_from = {name: {f.split("/")[-2].rsplit("-", 1)[0] for f in own[name].inputFiles()} for name in sorted(VIEWS)}
+    assert not any(v in folders for folders in read_from.values() for v in VIEWS)
+    assert all(f.endswith(".zstd.parquet") for f in own["encounter"].inputFiles())
+
+
+def test_rows_are_not_shuffled_by_the_few_codes_of_rules(t):
+    assert "hashpartitioning(CODE" not in plan(t.build("procedure"))
+
+
 def test_timeline_is_a_plain_union(t):
     assert "Exchange" not in plan(patient.build_patient_timeline(t, PERIOD))
 
