@@ -16,6 +16,7 @@ from care_lake import fixed
 from care_lake.operators.quality import GateError, watch, watched
 from care_lake.plans import checks
 from care_lake.plans.tables import GOLD, SILVER, Lake
+from care_lake.session import sorted_splits
 from care_lake.settings import Period
 from care_lake.sources.lookups import read_lookups
 from care_lake.sources.layout import read_bucketed, write_bucketed
@@ -75,17 +76,18 @@ def build_tables(tables: Lake, spark: SparkSession, root: str, buckets: int = 32
     read by patient; a bucket should fill a file of some 100 MB.
     """
     built, counts = {name: tables[name] for name in tables}, []
-    for layer, names in (("silver", SILVER), ("gold", GOLD)):
-        for name in names:
-            current = Lake(built, tables.period)
-            expected = checks.LAYERS[layer].get(name, {})
-            rows, seen = watch(current[name], expected) if expected else (current[name], None)
-            if name in PATIENT_BUCKETS:
-                built[name] = write_bucketed(rows, root, layer, name, "patient_id", buckets, PATIENT_BUCKETS[name])
-            else:
-                built[name] = write_table(rows, root, layer, name, CLUSTER_BY.get(name, []))
-            if seen:
-                counts += watched(seen, expected, f"{layer}.{name}")
+    with sorted_splits(spark):
+        for layer, names in (("silver", SILVER), ("gold", GOLD)):
+            for name in names:
+                current = Lake(built, tables.period)
+                expected = checks.LAYERS[layer].get(name, {})
+                rows, seen = watch(current[name], expected) if expected else (current[name], None)
+                if name in PATIENT_BUCKETS:
+                    built[name] = write_bucketed(rows, root, layer, name, "patient_id", buckets, PATIENT_BUCKETS[name])
+                else:
+                    built[name] = write_table(rows, root, layer, name, CLUSTER_BY.get(name, []))
+                if seen:
+                    counts += watched(seen, expected, f"{layer}.{name}")
     return Lake(built, tables.period), counts
 
 

@@ -6,7 +6,7 @@ import pytest
 
 from care_lake.operators.dedup import latest_by
 from care_lake.operators.lookups import map_code
-from care_lake.plans import admissions, gold, patient, reports
+from care_lake.plans import admissions, gold, patient, reports, silver
 from care_lake.plans.measures import measure
 from care_lake.plans.tables import VIEWS, StagedLake
 from workload.standin import PERIOD, RawTables, lake, read
@@ -40,6 +40,18 @@ def test_rows_are_not_shuffled_by_the_few_codes_of_rules(t):
     assert "hashpartitioning(CODE" not in plan(t.build("procedure"))
 
 
+def test_copies_of_wide_keys_are_sorted_by_visit_first(t):
+    for raw, key in (("procedures", ["PATIENT", "ENCOUNTER", "CODE", "START"]), ("conditions", ["PATIENT", "ENCOUNTER", "CODE", "START"])):
+        assert re.search(r"Sort \[ENCOUNTER#\d+ ASC NULLS FIRST, PATIENT#", plan(silver._newest(t[raw], key)))
+
+
+def test_procedures_are_written_without_what_only_the_choice_of_copies_needs(t, monkeypatch):
+    written = {}
+    monkeypatch.setattr(silver, "staged", lambda df, name, *a: written.update({name: df.columns}) or df)
+    silver.build_procedure(t)
+    assert not {"_source_file", "_source_file_modified_at", "_rescued_data"} & set(written["procedures"])
+
+
 def test_timeline_is_a_plain_union(t):
     assert "Exchange" not in plan(patient.build_patient_timeline(t, PERIOD))
 
