@@ -160,3 +160,29 @@ def test_summary_joins_reuse_the_patient_partitioning(spark, t):
     # one shuffle per part to aggregate it and one for the patients, none to join
     exchanges = re.findall(r"Exchange hashpartitioning\(([^,]*)", text)
     assert {e.split("#")[0] for e in exchanges} == {"patient_id"}
+
+
+def test_stays_compare_only_copies_of_procedures_that_rules_name(spark):
+    """Other codes are left out of the raw rows, and the procedures are not written for the stays."""
+    own = StagedLake(RawTables(spark, SF), PERIOD)
+    source = own.source("fact_index_admission")
+    text = plan(admissions.planned_stays(admissions.stays(source), source))
+    below = text[text.index("WindowGroupLimit [ENCOUNTER"):]
+    assert re.search(r"BroadcastHashJoin \[concat\(p, .*LeftSemi", below)
+    assert not own.is_written("procedure")
+
+
+def test_only_texts_of_newest_copies_ask_the_rules(spark):
+    """A code that had two texts asks with those of its newest copies; a code without copies of another text needs no comparison."""
+    from datetime import datetime
+
+    rows = [  # the older copy of visit 1 says gear
+        ("a", "1", "x", "s", "gear", 1), ("a", "1", "x", "s", "plain", 2), ("a", "2", "y", "s", "gear", 1), ("a", "2", "y", "s", "gear", 2),
+        ("a", "3", "z", "s", None, 1), ("a", "4", "z", "s", "bolt", 1), ("a", "5", None, "s", "bolt", 1), (None, None, "x", None, "thing", 1),
+    ]
+    df = spark.createDataFrame([(*r[:5], f"file-{r[5]}", datetime(2024, r[5], 1)) for r in rows],
+                               "PATIENT string, ENCOUNTER string, CODE string, START string, DESCRIPTION string, _source_file string, _ingested_at timestamp")
+    key = ["PATIENT", "ENCOUNTER", "CODE", "START"]
+    got = {tuple(r) for r in silver._texts_of_newest(df, key, "CODE", "DESCRIPTION").collect()}
+    want = {tuple(r) for r in silver._newest(df, key).select("CODE", "DESCRIPTION").distinct().collect()}
+    assert got == want and ("x", "gear") not in got
