@@ -172,6 +172,16 @@ def test_stays_compare_only_copies_of_procedures_that_rules_name(spark):
     assert not own.is_written("procedure")
 
 
+def test_tables_with_one_reader_are_planned_and_read_where_they_were_written(spark):
+    own = StagedLake(RawTables(spark, SF), PERIOD)
+    own["fact_claim"], own["claim"]
+    assert own.is_written("fact_claim") and not own.is_written("claim_transaction")
+    assert {f.split("/")[-2].rsplit("-", 1)[0] for f in own.source("fact_claim")["claim"].inputFiles()} == {"claim"}
+    labs = own.source("patient_360")["fact_lab_result"].select("patient_id", "is_abnormal")
+    assert "UNITS" not in re.search(r"Exchange hashpartitioning\(ENCOUNTER.*", plan(labs)).group(0)
+    assert not own.is_written("observation")
+
+
 def test_only_texts_of_newest_copies_ask_the_rules(spark):
     """A code that had two texts asks with those of its newest copies; a code without copies of another text needs no comparison."""
     from datetime import datetime
