@@ -182,6 +182,31 @@ def test_tables_with_one_reader_are_planned_and_read_where_they_were_written(spa
     assert not own.is_written("observation")
 
 
+def test_cubes_of_months_have_no_table_written_that_nothing_else_reads(spark):
+    own = StagedLake(RawTables(spark, SF), PERIOD)
+    planned = own["kpi_monthly"], own["kpi_active_patients_monthly"]
+    assert own.is_written("encounter") and own.is_written("fact_index_admission") and own.is_written("dim_patient")
+    assert not [n for n in ("condition", "procedure", "fact_encounter", "coverage") if own.is_written(n)]
+    other = StagedLake(RawTables(spark, SF), PERIOD)
+    for name in ("condition", "procedure", "fact_encounter", "coverage"):
+        other[name]
+    for got, name in zip(planned, ("kpi_monthly", "kpi_active_patients_monthly")):
+        assert sorted(map(str, got.collect())) == sorted(map(str, other[name].collect()))
+    assert sorted(map(str, own["fact_index_admission"].collect())) == sorted(map(str, other["fact_index_admission"].collect()))
+    assert sorted(map(str, own["dim_patient"].collect())) == sorted(map(str, other["dim_patient"].collect()))
+
+
+def test_readers_of_few_columns_drop_copies_with_these_alone(spark):
+    own = StagedLake(RawTables(spark, SF), PERIOD)
+    diagnoses = own.source("fact_index_admission")["condition"].select("patient_id", "charlson_category", "start_date", "stop_date")
+    assert "DESCRIPTION" not in re.search(r"Exchange hashpartitioning\(ENCOUNTER.*", plan(diagnoses)).group(0) and "sha2" not in plan(diagnoses)
+    periods = own.source("dim_patient")["coverage"].select("patient_id", "payer_id", "member_id", "start_date", "end_date")
+    assert "sha2" not in plan(periods) and not own.is_written("coverage") and not own.is_written("condition")
+    own["fact_encounter"]
+    visits = own.source("kpi_monthly")["fact_encounter"]
+    assert {f.split("/")[-2].rsplit("-", 1)[0] for f in visits.inputFiles()} == {"fact_encounter"}
+
+
 def test_only_texts_of_newest_copies_ask_the_rules(spark):
     """A code that had two texts asks with those of its newest copies; a code without copies of another text needs no comparison."""
     from datetime import datetime
